@@ -161,12 +161,16 @@ class RunLedger:
 
     def _append(self, run_id: str, table: str, status: str, **values: object) -> None:
         RunLedger._last_seq = seq = max(RunLedger._last_seq + 1, time.time_ns())
-        row = {name: values.get(name) for name in EVENT_SCHEMA.names}
-        row.update(RunId=run_id, TableName=table, Status=status, EventSeq=seq)
-        event = self.spark.createDataFrame(
-            [tuple(row[name] for name in EVENT_SCHEMA.names)], EVENT_SCHEMA
-        ).withColumn("EventUtc", F.date_trunc("millisecond", F.timestamp_micros(F.lit(seq // 1000))))
-        event.coalesce(1).write.mode("append").partitionBy("RunId").parquet(self.path)
+        values.update(RunId=run_id, TableName=table, Status=status, EventSeq=seq)
+        row = [
+            F.lit(values.get(field.name)).cast(field.dataType).alias(field.name)
+            for field in EVENT_SCHEMA
+            if field.name != "EventUtc"
+        ]
+        now = F.date_trunc("millisecond", F.timestamp_micros(F.lit(seq // 1000)))
+        self.spark.range(1, numPartitions=1).select(*row, now.alias("EventUtc")).write.mode(
+            "append"
+        ).partitionBy("RunId").parquet(self.path)
 
     def mark_running(self, run_id: str, table: str) -> None:
         self._append(run_id, table, RUNNING)

@@ -49,6 +49,12 @@ def _file_system(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(conf), hadoop_path
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The path with its scheme, as file listings give it."""
+    fs, path = _file_system(spark, folder)
+    return fs.makeQualified(path).toString()
+
+
 def list_names(spark: SparkSession, folder: str, *, directories: bool) -> list[str]:
     """Names directly below a folder; an absent folder has none."""
     fs, path = _file_system(spark, folder)
