@@ -1,6 +1,11 @@
+import os
+import sys
+
 import pytest
 from pyspark.sql import SparkSession
 
+sys.path[:0] = [os.path.dirname(os.path.dirname(os.path.abspath(__file__))), os.path.dirname(os.path.abspath(__file__))]
+
 
 @pytest.fixture(scope="session")
 def spark():
@@ -10,6 +15,7 @@ def spark():
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
         .getOrCreate()
     )

@@ -113,7 +113,7 @@ def _floating_text(column: Column, data_type: T.DataType) -> Column:
     return (
         F.when(F.isnan(column) | (size == float("inf")), shortest)
         .when(size == 0, F.when(shortest.startswith("-"), F.lit("-0")).otherwise(F.lit("0")))
-        .when((size >= 1e-5) & (size < limit), plain)
+        .when((size >= 1e-4) & (size < limit), plain)
         .otherwise(scientific)
     )
 
