@@ -1,11 +1,13 @@
 """Every registered query against its SQL on the same files."""
 
+import functools
 import os
 
 import pytest
 
 import __spark_entry__ as entry_points
 import oracle
+from workload import queries
 
 FOLDER = os.environ.get("TIDEMARK_TESTDATA", "/root/testdata/sf0.001")
 
@@ -17,6 +19,23 @@ def connection():
     return oracle.connect(FOLDER)
 
 
+@pytest.fixture(scope="module", autouse=True)
+def shared_passes():
+    """The queries about whole passes look at one and the same pair of passes."""
+    build = queries.two_passes
+    kept = {}
+
+    @functools.wraps(build)
+    def once(roles):
+        if roles.folder not in kept:
+            kept[roles.folder] = build(roles)
+        return kept[roles.folder]
+
+    queries.two_passes = once
+    yield
+    queries.two_passes = build
+
+
 def test_every_query_has_its_sql():
     assert set(entry_points.queries()) == set(entry_points.oracle_sql())
 

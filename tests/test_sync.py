@@ -400,3 +400,22 @@ def test_stream_batch_is_idempotent(world):
         apply_batch(world.spark, files, 0, ITEM_TABLES, world.store, world.options, "s")
         assert [world.store.current(s.name).number for s in ITEM_TABLES] == [1, 1, 1, 1]
     assert world.store.current("Item").tags == {"stream:s": [0, RUN1]}
+
+
+def test_relational_staging_gets_the_mapped_rows(loaded, monkeypatch):
+    from tidemark.plans import sync
+    from tidemark.sources.files import newest_run
+    from tidemark.sources.jdbc import JdbcSource
+
+    sent = {}
+
+    def capture(df, source, table, **options):
+        sent.update(options, table=table, rows=sorted(tuple(r) for r in df.collect()))
+
+    monkeypatch.setattr(sync, "write_jdbc", capture)
+    result = sync.load_staging_table(
+        loaded.spark, ITEM, newest_run(loaded.spark, loaded.options.stage_root),
+        JdbcSource("jdbc:x://host/db"), "stage_Item", replace(loaded.options, batch_size=100),
+    )
+    assert sent == {"table": "stage_Item", "batch_size": 100, "mode": "overwrite", "rows": [(1, 1, "a"), (2, 2, "b"), (3, 1, None)]}
+    assert (result.rows_read, result.rows_staged, result.rows_filtered) == (4, 3, 1)

@@ -1,4 +1,8 @@
-"""Deleting target rows: those missing from the staged set, or those listed."""
+"""Deleting target rows: those missing from the staged set, or those listed.
+
+A staged set may hold a key many times, so its keys are made distinct, per
+task first, on the way into the join.
+"""
 
 from __future__ import annotations
 
@@ -8,13 +12,13 @@ from pyspark.sql import functions as F
 
 def staged_only(target: DataFrame, column: str, staged: DataFrame, staged_key: str) -> DataFrame:
     """Target rows whose ``column`` occurs among the staged keys."""
-    keys = staged.select(F.col(staged_key).alias("_staged_key"))
+    keys = staged.select(F.col(staged_key).alias("_staged_key")).distinct()
     return target.join(keys, F.col(column) == F.col("_staged_key"), "left_semi")
 
 
 def not_staged(target: DataFrame, column: str, staged: DataFrame, staged_key: str) -> DataFrame:
     """Target rows whose ``column`` does not occur among the staged keys."""
-    keys = staged.select(F.col(staged_key).alias("_staged_key"))
+    keys = staged.select(F.col(staged_key).alias("_staged_key")).distinct()
     return target.join(keys, F.col(column) == F.col("_staged_key"), "left_anti")
 
 

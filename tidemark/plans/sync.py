@@ -17,6 +17,7 @@ from tidemark.options import SyncOptions
 from tidemark.plans.ledger import SyncResult
 from tidemark.plans.rewrite import high_water_of, materialise, remove_rows, sized, work_folder
 from tidemark.sources.files import Run
+from tidemark.sources.jdbc import JdbcSource, write_jdbc
 from tidemark.sources.staged import StagedScan, scan_folder
 from tidemark.sources.targets import TargetStore
 from tidemark.spec import TableSpec, children_of
@@ -109,6 +110,13 @@ def _reseed(spec: TableSpec, store: TargetStore, options: SyncOptions) -> None:
         store.commit(spec, previous, previous.folder, previous.rows, previous.buckets, mark)
 
 
+def _take_counters(result: SyncResult, seen: Mapping[str, int]) -> None:
+    result.rows_read = seen["rows_read"]
+    result.rows_filtered = seen["rows_filtered"]
+    result.rows_staged = seen["rows_staged"]
+    result.values_truncated = seen["values_truncated"]
+
+
 def load_scan(
     spark: SparkSession,
     spec: TableSpec,
@@ -131,11 +139,7 @@ def load_scan(
         observed = Observation()
         map_rows(scan.frames, spec, options, observed).write.parquet(f"{work}/staged")
         staged = spark.read.schema(spec.schema).parquet(f"{work}/staged")
-        seen = observed.get
-        result.rows_read = seen["rows_read"]
-        result.rows_filtered = seen["rows_filtered"]
-        result.rows_staged = seen["rows_staged"]
-        result.values_truncated = seen["values_truncated"]
+        _take_counters(result, observed.get)
 
         wants_prune = options.prune_missing_rows and spec.prunable
         if result.rows_staged == 0:
@@ -151,7 +155,9 @@ def load_scan(
         for position, parent in enumerate(spec.parents):
             parent_spec = by_name[parent.table]
             values, rows = materialise(
-                orphan_values(staged, parent.column, store.read(parent_spec), parent_spec.key),
+                orphan_values(
+                    staged, parent.column, store.read_by_key(parent_spec), parent_spec.key
+                ),
                 f"{work}/orphans-{position}",
             )
             if rows:
@@ -191,6 +197,28 @@ def load_scan(
     return result
 
 
+def load_staging_table(
+    spark: SparkSession,
+    spec: TableSpec,
+    run: Run,
+    target: JdbcSource,
+    table: str,
+    options: SyncOptions,
+) -> SyncResult:
+    """Map the staged rows of a run into a relational staging table, in insert batches.
+
+    What follows there, the merge into the table itself, is the database's work.
+    """
+    scan = scan_folder(spark, f"{run.path.rstrip('/')}/{options.folder_of(spec)}", spec, options)
+    result = SyncResult(spec.name, files_processed=scan.file_count, warnings=list(scan.warnings))
+    if scan.file_count:
+        observed = Observation()
+        rows = map_rows(scan.frames, spec, options, observed)
+        write_jdbc(rows, target, table, batch_size=options.batch_size, mode="overwrite")
+        _take_counters(result, observed.get)
+    return result
+
+
 def sync_table(
     spark: SparkSession,
     spec: TableSpec,

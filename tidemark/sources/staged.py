@@ -61,10 +61,10 @@ def _one_choice_only(schema: T.StructType, spec: TableSpec) -> bool:
     return all(len({a.lower() for a in group} & present) <= 1 for group in groups)
 
 
-def _merged_schema(spark: SparkSession, files: Sequence[str]) -> T.StructType | None:
-    """The union of the files' schemas, read by a Spark job; None if types conflict."""
+def _merged_schema(spark: SparkSession, paths: Sequence[str]) -> T.StructType | None:
+    """The union of all schemas, read by a Spark job; None if types conflict."""
     try:
-        return spark.read.option("mergeSchema", True).parquet(*files).schema
+        return _reader(spark).option("mergeSchema", True).parquet(*paths).schema
     except PySparkException as problem:
         if "MERGE" in (problem.getCondition() or "") or "merg" in str(problem):
             return None
@@ -76,7 +76,7 @@ def _merged_schema(spark: SparkSession, files: Sequence[str]) -> T.StructType |
 
 
 def _schema_groups(
-    spark: SparkSession, files: Sequence[str], spec: TableSpec
+    spark: SparkSession, files: Sequence[str], spec: TableSpec, folder: str | None
 ) -> list[tuple[T.StructType, list[str]]]:
     """Split files (one per write job) into groups that resolve the same way.
 
@@ -92,7 +92,8 @@ def _schema_groups(
         if len(group) == 1:
             schema = spark.read.parquet(group[0]).schema
         else:
-            schema = _merged_schema(spark, group)
+            whole = folder is not None and len(group) == len(files)
+            schema = _merged_schema(spark, [folder] if whole else group)
             if schema is None or not _one_choice_only(schema, spec):
                 middle = len(group) // 2
                 pending += [group[:middle], group[middle:]]
@@ -122,9 +123,8 @@ def scan_files(
     if file_count == 0:
         return StagedScan([], 0)
     representatives = sorted(row["path"] for row in jobs)
-    groups = _schema_groups(
-        spark, representatives[:1] if options.uniform_files else representatives, spec
-    )
+    probed = representatives[:1] if options.uniform_files else representatives
+    groups = _schema_groups(spark, probed, spec, folder)
 
     frames, warnings = [], []
     for needed, members in groups:
