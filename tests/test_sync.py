@@ -371,8 +371,10 @@ def test_ledger_reads_files_of_an_earlier_shape(spark, tmp_path):
 
 
 def test_stream_loads_each_new_run_once(world):
+    folder = "first"
+
     def drain():
-        query = incremental_sync(world.spark, ITEM_TABLES, world.store, world.options, f"{world.root}/checkpoint")
+        query = incremental_sync(world.spark, ITEM_TABLES, world.store, world.options, f"{world.root}/{folder}")
         query.awaitTermination()
         return {s.name: world.store.current(s.name).number for s in ITEM_TABLES if world.store.current(s.name)}
 
@@ -383,9 +385,14 @@ def test_stream_loads_each_new_run_once(world):
     assert world.rows(ITEM_BLOB) == [(10, 1, 1), (11, 2, 2), (12, 3, 1), (20, 7, 2)]
     assert {r[0]: r[2] for r in world.rows(ITEM)} == {1: "later", 2: "b", 3: None, 7: "g"}
     assert drain() == first
+    # A new checkpoint starts its batches at 0 again and must not be taken for a replay.
+    tags = world.store.current("Item").tags
+    assert len(tags) == 1 and list(tags.values()) == [[0, RUN2]]
+    folder = "second"
     world.stage(RUN3, extract(items=[(2, 1, "third", False, True)]))
     drain()
     assert {r[0]: r[2] for r in world.rows(ITEM)} == {1: "later", 2: "third", 3: None, 7: "g"}
+    assert len(world.store.current("Item").tags) == 2
     with pytest.raises(ConfigurationError, match="snapshot"):
         incremental_sync(world.spark, ITEM_TABLES, world.store, replace(world.options, prune_missing_rows=True), "/c")
 

@@ -39,10 +39,11 @@ class TargetStore:
 
     Tables of ``bucket_rows`` rows or more are written bucketed by key into as
     many buckets as the session has shuffle partitions, so that a later merge
-    reads them without a shuffle.
+    reads them without a shuffle. Spark buckets through the session catalog;
+    ``bucket_rows=None`` does without.
     """
 
-    def __init__(self, spark: SparkSession, root: str, bucket_rows: int = 5_000_000):
+    def __init__(self, spark: SparkSession, root: str, bucket_rows: int | None = 5_000_000):
         self.spark = spark
         self.root = root.rstrip("/")
         self.bucket_rows = bucket_rows
@@ -98,7 +99,7 @@ class TargetStore:
         """Write a new, uncommitted folder; its name and its number of buckets."""
         folder = self.new_folder()
         path = f"{self.root}/{spec.name}/{folder}"
-        if expected_rows < self.bucket_rows:
+        if self.bucket_rows is None or expected_rows < self.bucket_rows:
             df.write.parquet(path)
             return folder, 0
         buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))

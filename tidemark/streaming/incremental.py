@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.errors import ConfigurationError
 from tidemark.options import SyncOptions
 from tidemark.plans.sync import load_scan
-from tidemark.sources.files import DATA_FILE_GLOB, FILE_SCHEMA, qualified
+from tidemark.sources.files import DATA_FILE_GLOB, FILE_SCHEMA, qualified, read_text
 from tidemark.sources.staged import scan_files
 from tidemark.sources.targets import TargetStore
 from tidemark.spec import TableSpec, load_order
@@ -55,13 +56,14 @@ def apply_batch(
     specs: Sequence[TableSpec],
     store: TargetStore,
     options: SyncOptions,
-    name: str,
+    stream_id: str,
 ) -> None:
     """Merge the files of one micro-batch: run by run, parents before children.
 
-    A commit carries the batch and run it came from, so a batch that is
-    replayed after a failure goes on where it stopped.
+    A commit carries the stream, batch and run it came from, so a batch that
+    is replayed after a failure goes on where it stopped.
     """
+    mark = f"stream:{stream_id}"
     # What comes after the stage root: run folder, table folder, file.
     root = qualified(spark, options.stage_root)
     relative = F.substr(F.col("path"), F.lit(len(root) + 2))
@@ -75,14 +77,13 @@ def apply_batch(
             listing = placed.where(
                 (F.col("run") == run) & F.col("relative").startswith(f"{run}/{folder}/")
             ).select("path")
-            tag = {f"stream:{name}": [batch_id, run]}
             version = store.current(spec.name)
-            seen = (version.tags if version else {}).get(f"stream:{name}")
+            seen = (version.tags if version else {}).get(mark)
             if seen is not None and tuple(seen) >= (batch_id, run):
                 continue
             scan = scan_files(spark, listing, spec, options)
             if scan.file_count:
-                load_scan(spark, spec, scan, store, options, specs, tags=tag)
+                load_scan(spark, spec, scan, store, options, specs, tags={mark: [batch_id, run]})
 
 
 def incremental_sync(
@@ -100,7 +101,9 @@ def incremental_sync(
 
     Without an ``interval`` all files that are there now are loaded and the
     query ends. Unlike a pass, which loads the newest run, this loads every
-    new run in order. Pruning needs a complete snapshot and is refused.
+    new run in order. Pruning needs a complete snapshot and is refused. With
+    ``max_files_per_trigger`` a run may be split over batches; files come in
+    the order they were written, which is parents first for ``extract_run``.
     """
     options.validate()
     if options.prune_missing_rows:
@@ -109,7 +112,9 @@ def incremental_sync(
     def each_batch(files: DataFrame, batch_id: int) -> None:
         files.persist()
         try:
-            apply_batch(spark, files, batch_id, specs, store, options, name)
+            # The checkpoint names the stream: a new checkpoint starts a new count of batches.
+            stream_id = json.loads(read_text(spark, f"{checkpoint.rstrip('/')}/metadata"))["id"]
+            apply_batch(spark, files, batch_id, specs, store, options, stream_id)
         finally:
             files.unpersist()
 
