@@ -28,13 +28,13 @@ def mapped(df, spec=ITEM, options=OPTIONS):
 
 
 def test_item_is_mapped(spark):
-    assert mapped(items(spark, (3001, 12, "Adobo Mix", False, True))) == ([(3001, 12, "Adobo Mix")], 0, 0)
+    assert mapped(items(spark, (3001, 12, "Green Tea", False, True))) == ([(3001, 12, "Green Tea")], 0, 0)
 
 
 def test_long_item_name_is_cut_and_counted(spark):
     rows, _, cut = mapped(items(spark, (1, 1, "x" * 200, False, True)))
     assert len(rows[0][2]) == 100 and cut == 1
-    assert mapped(items(spark, (1, 1, "Sinigang Mix", False, True))) == ([(1, 1, "Sinigang Mix")], 0, 0)
+    assert mapped(items(spark, (1, 1, "Black Tea", False, True))) == ([(1, 1, "Black Tea")], 0, 0)
     assert mapped(items(spark, (1, 1, "y" * 100, False, True)))[2] == 0
 
 

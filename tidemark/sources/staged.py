@@ -148,7 +148,8 @@ def scan_folder(
 ) -> StagedScan:
     """Scan a staged folder; an empty one is an error unless the options allow it."""
     try:
-        listing = list_data_files(spark, folder).coalesce(64)
+        listing = list_data_files(spark, folder)
+        listing = listing.coalesce(max(64, spark.sparkContext.defaultParallelism))
     except AnalysisException as problem:
         if problem.getCondition() == "PATH_NOT_FOUND":
             raise EmptySourceError(f"The staged folder '{folder}' does not exist.") from problem
