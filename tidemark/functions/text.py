@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def utf16_length(column: Column) -> Column:
-    return (F.octet_length(F.encode(column, "UTF-16BE")) / 2).cast("int")
+    return F.shiftright(F.octet_length(F.encode(column, "UTF-16BE")), 1)
 
 
 def too_wide(column: Column, width: int) -> Column:

@@ -10,11 +10,13 @@ from pyspark.sql import SparkSession
 from tidemark.errors import ConfigurationError
 
 # What the jobs rely on: run-time re-planning with skew splitting, and UTC times.
+# The last setting spares the driver a stack trace per Column expression.
 SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

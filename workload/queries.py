@@ -232,8 +232,9 @@ def truncation_count(roles):
 
 @query
 def mapping_counters(roles):
+    staged = roles.staged()
     parts = [
-        resolve_rows(roles.staged()[spec.name], spec, DEFAULTS)
+        resolve_rows(staged[spec.name], spec, DEFAULTS)
         .agg(*counters())
         .select(F.lit(spec.name).alias("TableName"), "*")
         for spec in TABLES
