@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import lines, mixing, quality, urls
+from tidemark.llm import katz, lines, mixing, quality, repeats, simhash, urls
 from tidemark.llm.common import table
 
 
+def op1_katz_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return katz.katz_scores(table(spark, folder, "documents"))
+
+
+def op2_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_digest(table(spark, folder, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_report(table(spark, folder, "documents"))
 
@@ -26,12 +34,18 @@ def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.url_digest(table(spark, folder, "pages"), table(spark, folder, "labels"))
 
 
+def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.repeat_digest(table(spark, folder, "documents"))
+
+
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_quality_rules, op6_mix_sources, op7_line_dedup, op8_url_filter)
+    f.__name__: f
+    for f in (op1_katz_scores, op2_simhash_dedup, op5_quality_rules, op6_mix_sources, op7_line_dedup, op8_url_filter, op10_substring_dedup)
 }
 
 STATEMENTS: dict[str, str] = {
     "op5_quality_rules": quality.QUALITY_SQL,
     "op7_line_dedup": lines.LINE_SQL,
     "op8_url_filter": urls.URL_SQL,
+    "op10_substring_dedup": repeats.REPEAT_SQL,
 }
