@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import katz, lines, mixing, quality, repeats, simhash, urls
+from tidemark.llm import katz, leaks, lines, mixing, ordinal, pii, quality, repeats, simhash, urls
 from tidemark.llm.common import table
 
 
@@ -18,6 +18,14 @@ def op2_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_digest(table(spark, folder, "documents"))
 
 
+def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return leaks.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.personal_digest(table(spark, folder, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_report(table(spark, folder, "documents"))
 
@@ -34,13 +42,20 @@ def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.url_digest(table(spark, folder, "pages"), table(spark, folder, "labels"))
 
 
+def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return ordinal.classify_digest(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.repeat_digest(table(spark, folder, "documents"))
 
 
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_katz_scores, op2_simhash_dedup, op5_quality_rules, op6_mix_sources, op7_line_dedup, op8_url_filter, op10_substring_dedup)
+    for f in (
+        op1_katz_scores, op2_simhash_dedup, op3_decontaminate, op4_personal_data, op5_quality_rules,
+        op6_mix_sources, op7_line_dedup, op8_url_filter, op9_quality_classifier, op10_substring_dedup,
+    )
 }
 
 STATEMENTS: dict[str, str] = {

@@ -16,6 +16,7 @@ from the upper run to the lower, exceed d.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrays import signed
+from tidemark.llm.arrays import mixed, signed
 from tidemark.llm.common import LAST_ID, hash_pair, scratch, shuffle_partitions, stored, whole
 from tidemark.llm.components import components
 
@@ -34,11 +35,11 @@ _PAIRWISE = 32
 ROW = ["_row_1", "_row_2"]
 
 
-def fingerprint(text: bytes, shingle_words: int) -> int:
-    """Majority of the bits of the shingle hashes; 0 for a text without words."""
+def fingerprints(text: bytes, shingle_words: int, count: int = 1) -> np.ndarray:
+    """``count`` independent SimHashes: the majority of the bits of the shingle hashes; 0 for a text without words."""
     words = text.lower().split()  # bytes: A-Z only
     if not words:
-        return 0
+        return np.zeros(count, np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.r_[0, ends[:-1] + 1]
@@ -48,19 +49,27 @@ def fingerprint(text: bytes, shingle_words: int) -> int:
         (digest(joined[a:b], 42) for a, b in zip(starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist())),
         np.uint64, len(words) - k + 1,
     )
-    ones = np.zeros(BITS, np.int64)
-    for at in range(0, len(hashes), 65_536):
-        part = hashes[at : at + 65_536].astype("<u8").view(np.uint8).reshape(-1, 8)
-        ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
+    found = np.zeros(count, np.uint64)
+    for i in range(count):
+        ones = np.zeros(BITS, np.int64)
+        for at in range(0, len(hashes), 65_536):
+            part = hashes[at : at + 65_536]
+            part = mixed(part, np.full(1, i, np.uint64)) if i else part
+            bits = np.unpackbits(part.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            ones += bits.sum(axis=0, dtype=np.int64)
+        found[i] = np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0]
+    return found
 
 
-def _fingerprints(shingle_words: int):
+MARKED = "doc_id bigint, _row_1 bigint, _row_2 bigint, fps array<bigint>"
+
+
+def _fingerprints(shingle_words: int, count: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = np.array([fingerprint(t, shingle_words) for t in batch["text"].to_pylist()], np.uint64)
+            values = [signed(fingerprints(t, shingle_words, count)).tolist() for t in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch[ROW[0]], batch[ROW[1]], pa.array(signed(values))], names=["doc_id", *ROW, "fp"]
+                [batch["doc_id"], batch[ROW[0]], batch[ROW[1]], pa.array(values, pa.list_(pa.int64()))], names=["doc_id", *ROW, "fps"]
             )
 
     return run
@@ -126,8 +135,14 @@ def _forest(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         label = after
 
 
-def _link_groups(group: np.ndarray, values: np.ndarray, max_bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Links within complete groups; rows of a group are side by side."""
+def _link_groups(
+    group: np.ndarray, values: np.ndarray, codes: np.ndarray, max_bits: int, max_total: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Linked positions within complete groups; rows of a group are side by side."""
+
+    def near_codes(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        return np.bitwise_count(codes[left] ^ codes[right]).sum(axis=1) <= max_total
+
     first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
     size = np.diff(np.r_[first, len(group)])
     own = np.repeat(size, size)
@@ -135,33 +150,38 @@ def _link_groups(group: np.ndarray, values: np.ndarray, max_bits: int) -> Iterat
     for shift in range(1, int(size[size <= _PAIRWISE].max(initial=1))):
         near = (group[shift:] == group[:-shift]) & small[shift:]
         near &= np.bitwise_count(values[shift:] ^ values[:-shift]) <= max_bits
-        yield values[:-shift][near], values[shift:][near]
+        left = np.flatnonzero(near)
+        left = left[near_codes(left, left + shift)]
+        yield left, left + shift
     for at, n in zip(first[size > _PAIRWISE], size[size > _PAIRWISE]):
-        members = values[at : at + n]
-        members = members[np.argsort(gray_rank(members))]
-        root = _forest(n, *_close_in_leaf(members, max_bits))
-        yield members[root != np.arange(n)], members[root[root != np.arange(n)]]
+        order = at + np.argsort(gray_rank(values[at : at + n]))
+        left, right = _close_in_leaf(values[order], max_bits)
+        good = near_codes(order[left], order[right])
+        root = _forest(n, left[good], right[good])
+        joined = np.flatnonzero(root != np.arange(n))
+        yield order[joined], order[root[joined]]
 
 
-def _leaf_links(max_bits: int):
+def _leaf_links(max_bits: int, max_total: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = [np.zeros(0, np.int64)] * 3
+        held: list[np.ndarray] | None = None
         for batch in _with_end(batches):
-            if batch is not None:
-                new = [batch[c].to_numpy() for c in ("mask", "pattern", "fp")]
-                held = [np.concatenate(x) for x in zip(held, new)]
-            mask, pattern, fp = held
-            if not len(fp):
+            if batch is not None and batch.num_rows:
+                codes = np.frombuffer(b"".join(batch["code"].to_pylist()), np.uint64).reshape(batch.num_rows, -1)
+                new = [*(batch[c].to_numpy() for c in ("mask", "pattern", "vertex", "fp")), codes]
+                held = new if held is None else [np.concatenate(x) for x in zip(held, new)]
+            if held is None or not len(held[0]) or (batch is not None and not batch.num_rows):
                 continue
+            mask, pattern, vertex, fp, codes = held
             change = np.r_[True, (mask[1:] != mask[:-1]) | (pattern[1:] != pattern[:-1])]
             group = np.cumsum(change)
             # the last group may go on in the next batch; leaves are small, so little is held
             done = len(fp) if batch is None else int(np.searchsorted(group, group[-1]))
             held = [x[done:] for x in held]
             if done:
-                for u, v in _link_groups(group[:done], fp[:done].view(np.uint64), max_bits):
-                    if len(u):
-                        yield pa.RecordBatch.from_arrays([pa.array(signed(u)), pa.array(signed(v))], names=["u", "v"])
+                for left, right in _link_groups(group[:done], fp[:done].view(np.uint64), codes[:done], max_bits, max_total):
+                    if len(left):
+                        yield pa.RecordBatch.from_arrays([pa.array(vertex[left]), pa.array(vertex[right])], names=["u", "v"])
 
     return run
 
@@ -183,67 +203,83 @@ def _as_bigint(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def fingerprint_links(fps: DataFrame, max_bits: int, work: str, leaf: int = LEAF) -> DataFrame:
-    """``u, v``: links that connect all fingerprints within ``max_bits``, from distinct ``fp``.
+def fingerprint_links(fps: DataFrame, max_bits: int, work: str, max_total: int | None = None, leaf: int = LEAF) -> DataFrame:
+    """``u, v``: links that connect all vertices whose ``fp`` are within ``max_bits``.
 
-    Small leaves give every link, large ones a forest with the same reach, so the
-    links stay in proportion to the fingerprints.
+    ``fps`` has distinct ``vertex``, the ``fp`` to search by and ``code``, all fingerprints
+    as bytes, which must be within ``max_total`` bits as well. Small leaves give every
+    link, large ones a forest with the same reach, so links stay in proportion to
+    fingerprints. Vertices that share a fingerprint count as one member of a node only
+    if their codes are equal, so ``leaf`` bounds texts and not copies.
     """
     spark = fps.sparkSession
     found = []
-    level, masks, rows = 0, {0}, fps.select(F.lit(0).cast("bigint").alias("mask"), "fp")
+    level, masks, rows = 0, {0}, fps.select(F.lit(0).cast("bigint").alias("mask"), "vertex", "fp", "code")
     parts = shuffle_partitions(spark)
     while True:
         level += 1
-        below = {m: sorted(set(_children(m, max_bits))) for m in masks}
+        below = {m: sorted(set(_children(m, max_bits)) - {m}) for m in masks}
         children = F.create_map(*[x for m, c in below.items() for x in (F.lit(_as_bigint(m)), F.array(*[F.lit(_as_bigint(k)) for k in c]))])
         masks = {k for c in below.values() for k in c}
-        rows = rows.select(F.explode(F.element_at(children, F.col("mask"))).alias("mask"), "fp").distinct() if level > 1 else rows.select(
-            F.explode(F.element_at(children, F.col("mask"))).alias("mask"), "fp"
-        )
+        rows = rows.select(F.explode(F.element_at(children, F.col("mask"))).alias("mask"), "vertex", "fp", "code")
+        rows = rows.distinct() if level > 1 else rows
         rows = rows.withColumn("pattern", F.col("fp").bitwiseAND(F.col("mask")))
         counts = rows.groupBy("mask", "pattern").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         members = stored(rows.join(counts, ["mask", "pattern"]), f"{work}/level-{level}")
-        ready = members.where(F.col("n") <= leaf).select("mask", "pattern", "fp")
-        ready = ready.repartition(parts, "mask", "pattern").sortWithinPartitions("mask", "pattern")
-        found.append(stored(ready.mapInArrow(_leaf_links(max_bits), "u bigint, v bigint"), f"{work}/links-{level}"))
-        rows = members.where(F.col("n") > leaf).select("mask", "fp")
+        full = F.lit(_as_bigint((1 << BITS) - 1))
+        ready = members.where((F.col("n") <= leaf) | (F.col("mask") == full)).select("mask", "pattern", "vertex", "fp", "code")
+        ready = ready.repartition(parts, "mask", "pattern").sortWithinPartitions("mask", "pattern", "fp")
+        links = ready.mapInArrow(_leaf_links(max_bits, BITS * 64 if max_total is None else max_total), "u bigint, v bigint")
+        found.append(stored(links, f"{work}/links-{level}"))
+        rows = members.where((F.col("n") > leaf) & (F.col("mask") != full)).select("mask", "vertex", "fp", "code")
         if rows.isEmpty():
-            break
-    links = found[0]
-    for more in found[1:]:
-        links = links.unionByName(more)
-    return links
+            return reduce(DataFrame.unionByName, found)
 
 
-def near_duplicates(docs: DataFrame, shingle_words: int = 3, max_bits: int = 2) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, shingle_words: int = 3, max_bits: int = 2, fingerprint_count: int = 1, max_total: int | None = None
+) -> DataFrame:
     """``doc_id, fingerprint, component_id, _row_1, _row_2`` of every row of ``docs``.
 
-    Fingerprints link at ``max_bits`` or fewer differing bits; ``component_id`` is the
-    smallest id that links reach. Null and empty texts have fingerprint 0, which links
-    like any other. Equal texts share a fingerprint and are one vertex. Repeated ids
-    keep their rows; a null id never names a component unless all of it are null.
-    An empty table gives no row; other columns are not read.
+    Documents link if one of their fingerprints differs in at most ``max_bits`` bits
+    and, where ``max_total`` is given, all together in at most that many.
+    ``component_id`` is the smallest id that links reach. Null and empty texts have
+    fingerprint 0, which links like any other. Texts with equal fingerprints are one
+    vertex. Repeated ids keep their rows; a null id never names a component unless
+    all of it are null. An empty table gives no row; other columns are not read.
     """
     work = scratch(docs.sparkSession, "simhash")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *row_key(), whole("text").cast("binary").alias("text"))
-    marked = stored(
-        texts.mapInArrow(_fingerprints(shingle_words), "doc_id bigint, _row_1 bigint, _row_2 bigint, fp bigint"), f"{work}/fingerprints"
-    )
-    classes = marked.groupBy("fp").agg(F.coalesce(F.min("doc_id"), F.lit(LAST_ID)).alias("first"))
-    classes = stored(classes, f"{work}/classes")
-    stars = components(fingerprint_links(classes.select("fp"), max_bits, work), work)
-    rooted = classes.join(stars.withColumnRenamed("u", "fp"), "fp", "left").select("fp", "first", F.coalesce("v", "fp").alias("root"))
+    marked = stored(texts.mapInArrow(_fingerprints(shingle_words, fingerprint_count), MARKED), f"{work}/fingerprints")
+    # one fingerprint names its vertex itself, several do by their hash
+    vertex = F.col("fps")[0] if fingerprint_count == 1 else F.xxhash64("fps")
+    classes = marked.groupBy("fps").agg(F.coalesce(F.min("doc_id"), F.lit(LAST_ID)).alias("first"))
+    code = F.concat(*[F.unhex(F.lpad(F.hex(F.col("fps")[i]), 16, "0")) for i in range(fingerprint_count)])
+    classes = stored(classes.select(vertex.alias("vertex"), "fps", "first", code.alias("code")), f"{work}/classes")
+    links = [
+        fingerprint_links(classes.select("vertex", F.col("fps")[i].alias("fp"), "code"), max_bits, f"{work}/{i}", max_total)
+        for i in range(fingerprint_count)
+    ]
+    stars = components(reduce(DataFrame.unionByName, links), work)
+    rooted = classes.join(stars.withColumnRenamed("u", "vertex"), "vertex", "left").select("vertex", "first", F.coalesce("v", "vertex").alias("root"))
     lowest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(lowest, "root").select("fp", F.when(F.col("component_id") != LAST_ID, F.col("component_id")).alias("component_id"))
-    return marked.join(stored(named, f"{work}/components"), "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", *ROW
+    named = rooted.join(lowest, "root").select("vertex", F.when(F.col("component_id") != LAST_ID, F.col("component_id")).alias("component_id"))
+    return marked.withColumn("vertex", vertex).join(stored(named, f"{work}/components"), "vertex").select(
+        "doc_id", F.lower(F.lpad(F.hex(F.col("fps")[0]), 16, "0")).alias("fingerprint"), "component_id", *ROW
     )
 
 
-def drop_near_duplicates(docs: DataFrame, shingle_words: int = 5, max_bits: int = 2) -> DataFrame:
-    """One row of each component, with all columns: the one with the smallest id (by hash among equals)."""
-    near = near_duplicates(docs, shingle_words, max_bits)
+def drop_near_duplicates(
+    docs: DataFrame, shingle_words: int = 5, max_bits: int = 6, fingerprint_count: int = 4, max_total: int | None = 40
+) -> DataFrame:
+    """One row of each component, with all columns: the one with the smallest id (by hash among equals).
+
+    A Jaccard similarity J of shingle sets is a cosine of about 2 J / (1 + J). At
+    J = 0.8 two fingerprints of 64 bits differ in 9.7 bits on average, four in 38.8,
+    so 40 bits of 256 stand for a similarity of 0.8, and 6 bits of one of the four
+    find most pairs above. Rows with equal ids and texts are copies of one another.
+    """
+    near = near_duplicates(docs, shingle_words, max_bits, fingerprint_count, max_total)
     order = F.struct(F.coalesce("doc_id", F.lit(LAST_ID)), *ROW)
     group = F.when(F.col("component_id").isNull(), F.concat(F.lit("null "), "fingerprint")).otherwise(F.col("component_id").cast("string"))
     best = near.groupBy(group.alias("g")).agg(F.min(order).alias("best")).select("best._row_1", "best._row_2")
