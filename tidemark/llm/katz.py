@@ -17,6 +17,7 @@ than ``min_count`` times are counted, and then left to backoff.
 from __future__ import annotations
 
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,32 +32,43 @@ from tidemark.llm.common import scratch, shuffle_partitions, stored, whole
 # Good-Turing discounts apply to counts up to this one, as is usual for Katz models.
 GT_MAX = 5
 MIN_COUNT = 2
-BLOCK_TOKENS = 1_000_000
+BLOCK_TOKENS = 600_000
 BUCKET_KEYS = 1_000_000
+# Tasks over blocks per shuffle partition: a task holds its blocks' answers at once.
+SPREAD = 4
 END = b"\n"  # no word holds white space
 _START = np.uint64(0x5EED_0F_5E17E9CE)
 
 BLOCK = "blk bigint, n_tokens bigint, n_types bigint, doc_ids array<bigint>, held binary, lengths binary, ids binary, words binary"
-ASK = "level int, bucket int, blk bigint, keys binary, counts binary"
+ASK = "level int, bucket int, blk bigint, keys binary, counts array<binary>"
 ANSWER = "kind string, level int, bucket int, blk bigint, a binary, b binary, stats array<bigint>"
 
 
-def planes(values: np.ndarray) -> bytes:
+def _planes(values: np.ndarray) -> bytes:
     """The bytes of numbers plane by plane, which compresses far better than in order."""
     return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes() if len(values) else b""
 
 
-def unplanes(data: bytes, dtype: type) -> np.ndarray:
+def _unplanes(data: bytes, dtype: type) -> np.ndarray:
     width = np.dtype(dtype).itemsize
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(dtype).ravel()
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Counts and sums, most of them small or zero, are deflated at once."""
+    return zlib.compress(_planes(values), 1)
+
+
+def unpacked(data: bytes, dtype: type) -> np.ndarray:
+    return _unplanes(zlib.decompress(data), dtype)
+
+
 def _packed_keys(keys: np.ndarray) -> bytes:
-    return planes(np.diff(keys, prepend=np.uint64(0)))
+    return _planes(np.diff(keys, prepend=np.uint64(0)))
 
 
 def _unpacked_keys(data: bytes) -> np.ndarray:
-    return np.cumsum(unplanes(data, np.uint64), dtype=np.uint64)
+    return np.cumsum(_unplanes(data, np.uint64), dtype=np.uint64)
 
 
 def _pack_blocks(block_tokens: int):
@@ -73,7 +85,7 @@ def _pack_blocks(block_tokens: int):
                 [
                     pa.array([number], pa.int64()), pa.array([len(ids)], pa.int64()), pa.array([len(words)], pa.int64()),
                     pa.array([docs], pa.list_(pa.int64())), pa.array([np.array(held, np.uint8).tobytes()]),
-                    pa.array([np.array(lengths, np.uint32).tobytes()]), pa.array([planes(ids.astype(np.uint32))]), pa.array([_packed_keys(words)]),
+                    pa.array([np.array(lengths, np.uint32).tobytes()]), pa.array([_planes(ids.astype(np.uint32))]), pa.array([_packed_keys(words)]),
                 ],
                 names=["blk", "n_tokens", "n_types", "doc_ids", "held", "lengths", "ids", "words"],
             )
@@ -105,22 +117,22 @@ class _Block:
         self.doc_ids = row["doc_ids"]
         self.held = np.frombuffer(row["held"], np.uint8).astype(bool)
         self.lengths = np.frombuffer(row["lengths"], np.uint32).astype(np.int64)
-        self.ids = unplanes(row["ids"], np.uint32).astype(np.int64)
+        self.ids = _unplanes(row["ids"], np.uint32).astype(np.int32)
         self.words = _unpacked_keys(row["words"])
         self.train = np.repeat(~self.held, self.lengths)
 
     def pairs(self) -> None:
         """Distinct (context, word) pairs in order of their keys; ``of_token`` names each token's."""
         n = len(self.words)
-        context = np.r_[np.int64(n), self.ids[:-1]]
+        context = np.r_[np.int32(n), self.ids[:-1]].astype(np.int64)
         context[np.r_[0, np.cumsum(self.lengths)[:-1]]] = n  # texts begin after the start mark
         local, of_token = np.unique(context * (n + 1) + self.ids, return_inverse=True)
-        left, right = local // (n + 1), local % (n + 1)
+        left, right = (local // (n + 1)).astype(np.int32), (local % (n + 1)).astype(np.int32)
         self.contexts = np.r_[self.words, _START]  # hashes of contexts
         keys = mixed(self.contexts[left], self.words[right])
         order = np.argsort(keys)
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
         self.pair_keys, self.left, self.right, self.of_token = keys[order], left[order], right[order], rank[of_token]
         self.pair_counts = np.bincount(self.of_token[self.train], minlength=len(order))
 
@@ -134,11 +146,11 @@ def _asks(level: int, number: int, keys: np.ndarray, columns: list[np.ndarray],
     edges = np.searchsorted(keys, np.array([min(step * i, (1 << 64) - 1) for i in range(1, buckets)], np.uint64))
     for bucket, (a, b) in enumerate(zip(np.r_[0, edges], np.r_[edges, len(keys)])):
         if a < b:
-            yield level, bucket, number, _packed_keys(keys[a:b]), b"".join(planes(c[a:b]) for c in columns)
+            yield level, bucket, number, _packed_keys(keys[a:b]), [packed(c[a:b]) for c in columns]
 
 
 def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
-    kinds = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64())}
+    kinds = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64()), "array<binary>": pa.list_(pa.binary())}
     fields = [f.strip().split(" ") for f in schema.split(",")]
     columns = list(zip(*rows)) if rows else [[]] * len(fields)
     return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields)], names=[n for n, _ in fields])
@@ -167,16 +179,16 @@ def _add_counts(min_count: int):
         level, bucket = parts[0]["level"], parts[0]["bucket"]
         keys = [_unpacked_keys(p["keys"]) for p in parts]
         distinct, first, where = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-        counts = np.bincount(where, weights=np.concatenate([unplanes(p["counts"], np.uint32) for p in parts])).astype(np.uint32)
+        counts = np.bincount(where, weights=np.concatenate([unpacked(p["counts"][0], np.uint32) for p in parts])).astype(np.uint32)
         owned = np.zeros(len(where), np.uint8)
         owned[first] = 1  # one block speaks for each key
         rows, at = [], 0
         for p, k in zip(parts, keys):
             here = slice(at, at + len(k))
-            rows.append(("answer", level, bucket, p["blk"], planes(counts[where[here]]), np.packbits(owned[here]).tobytes(), None))
+            rows.append(("answer", level, bucket, p["blk"], packed(counts[where[here]]), np.packbits(owned[here]).tobytes(), None))
             at += len(k)
         kept = counts >= (min_count if level > 1 else 1)
-        rows.append(("model", level, bucket, None, _packed_keys(distinct[kept]), planes(counts[kept]), None))
+        rows.append(("model", level, bucket, None, _packed_keys(distinct[kept]), packed(counts[kept]), None))
         seen = np.bincount(np.minimum(counts, GT_MAX + 2), minlength=GT_MAX + 3)
         stats = [int(counts.sum(dtype=np.int64)), int((counts > 0).sum()), *map(int, seen[1 : GT_MAX + 2])]
         rows.append(("stats", level, bucket, None, None, None, stats))
@@ -225,7 +237,7 @@ class _Model:
 
 def _answers(rows: list[dict], level: int) -> tuple[np.ndarray, np.ndarray]:
     rows = sorted((r for r in rows if r["level"] == level), key=lambda r: r["bucket"])
-    counts = [unplanes(r["a"], np.uint32) for r in rows]
+    counts = [unpacked(r["a"], np.uint32) for r in rows]
     owned = [np.unpackbits(np.frombuffer(r["b"], np.uint8))[: len(c)] for r, c in zip(rows, counts)]
     return np.concatenate(counts).astype(np.int64), np.concatenate(owned).astype(bool)
 
@@ -258,7 +270,7 @@ def _add_contexts(table: pa.Table) -> pa.Table:
     parts = _parts(table)
     keys = [_unpacked_keys(p["keys"]) for p in parts]
     distinct, where = np.unique(np.concatenate(keys), return_inverse=True)
-    sent = np.concatenate([unplanes_columns(p["counts"], 3) for p in parts], axis=1)
+    sent = [np.concatenate([unpacked(p["counts"][i], np.float64) for p in parts]) for i in range(3)]
     total, kept, lower = (np.bincount(where, weights=v) for v in sent)
     # a context whose kept pairs leave nothing gives up one count
     whole_ = np.where(kept >= total, total + 1, total)
@@ -267,19 +279,13 @@ def _add_contexts(table: pa.Table) -> pa.Table:
     rows, at = [], 0
     for p, k in zip(parts, keys):
         here = where[at : at + len(k)]
-        rows.append(("answer", 3, p["bucket"], p["blk"], planes(whole_[here]), planes(backoff[here]), None))
+        rows.append(("answer", 3, p["bucket"], p["blk"], packed(whole_[here]), packed(backoff[here]), None))
         at += len(k)
     chosen = kept > 0
-    rows.append(("model", 3, parts[0]["bucket"], None, _packed_keys(distinct[chosen]), planes(backoff[chosen]), None))
+    rows.append(("model", 3, parts[0]["bucket"], None, _packed_keys(distinct[chosen]), packed(backoff[chosen]), None))
     return pa.Table.from_batches([_batch(rows, ANSWER)])
 
 
-def unplanes_columns(data: bytes, columns: int) -> np.ndarray:
-    """Columns of doubles that were packed one after the other."""
-    size = len(data) // columns
-    return np.stack([unplanes(data[i * size : (i + 1) * size], np.float64) for i in range(columns)])
-
-
 def _score(model: _Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -289,8 +295,8 @@ def _score(model: _Model):
                 rows = sorted(row["contexts"], key=lambda r: r["bucket"])
                 order = np.argsort(block.contexts)
                 whole_, backoff = np.empty(len(order)), np.empty(len(order))
-                whole_[order] = np.concatenate([unplanes(r["a"], np.float64) for r in rows])
-                backoff[order] = np.concatenate([unplanes(r["b"], np.float64) for r in rows])
+                whole_[order] = np.concatenate([unpacked(r["a"], np.float64) for r in rows])
+                backoff[order] = np.concatenate([unpacked(r["b"], np.float64) for r in rows])
                 mass = model.pair_mass(pairs)
                 p = np.where(mass > 0, mass / whole_[block.left], backoff[block.left] * model.unigram(words)[block.right])
                 starts = np.r_[0, np.cumsum(block.lengths)[:-1]]
@@ -336,7 +342,8 @@ def katz_scores(
     # Blocks are bucketed by number, so that the joins below move answers and not blocks.
     table = f"katz_{uuid.uuid4().hex}"
     packed = texts.mapInArrow(_pack_blocks(block_tokens), BLOCK)
-    packed.write.format("parquet").bucketBy(shuffle_partitions(spark), "blk").option("path", f"{work}/blocks").option("compression", "zstd").saveAsTable(table)
+    spread = SPREAD * shuffle_partitions(spark)
+    packed.write.format("parquet").bucketBy(spread, "blk").option("path", f"{work}/blocks").option("compression", "zstd").saveAsTable(table)
     blocks = spark.table(table)
     n_tokens, n_types = blocks.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum("n_types"), F.lit(0))).first()
     buckets = tuple(max(1, -(-n // BUCKET_KEYS)) for n in (n_types, n_tokens))
@@ -349,7 +356,7 @@ def katz_scores(
     model = _Model({1: found.get(1, empty), 2: found.get(2, empty)}, min_count)
 
     def per_block(of: DataFrame, name: str) -> DataFrame:
-        replies = of.where("kind = 'answer'").groupBy("blk")
+        replies = of.where("kind = 'answer'").repartition(spread, "blk").groupBy("blk")
         return replies.agg(F.collect_list(F.struct("level", "bucket", "a", "b")).alias(name))
 
     counted = blocks.join(per_block(answers, "answers").hint("shuffle_merge"), "blk")
