@@ -10,7 +10,6 @@ from tidemark.errors import ConfigurationError, DuplicateKeyError, EmptySourceEr
 from tidemark.operators import map_rows
 from tidemark.options import SyncOptions
 from tidemark.plans.tables import BLOB, ITEM, ITEM_CATEGORY, ITEM_TABLES
-from tidemark.sources import staged
 from tidemark.sources.extract import capture_deleted, capture_rows, default_run_id, extract_run, stage
 from tidemark.sources.files import is_data_file, list_data_files, newest_run, resolve_run
 from tidemark.sources.inline import inline_ids, inline_rows
@@ -90,8 +89,18 @@ def test_files_may_name_and_type_columns_differently(spark, tmp_path):
     assert len(scan.warnings) == 2
 
 
-def test_many_files_are_grouped_by_halving(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(staged, "_FEW_JOBS", 1)
+@pytest.mark.parametrize("jobs", [3, 40])
+def test_every_write_job_is_looked_at(spark, tmp_path, jobs):
+    root = str(tmp_path)
+    for n in range(jobs):
+        write(f"{root}/a{n}.parquet", Id=pa.array([n], pa.int32()), CategoryId=[1], Name=[f"a{n}"], Deleted=[False])
+    write(f"{root}/b.parquet", Id=pa.array([100], pa.int32()), CategoryId=[1], Name=["b"])
+    scan = scan_folder(spark, root, ITEM, OPTIONS)
+    assert (scan.file_count, len(scan.frames), len(scan.warnings)) == (jobs + 1, 2, 1)
+    assert rows_of(scan, ITEM) == [*((n, 1, f"a{n}") for n in range(jobs)), (100, 1, "b")]
+
+
+def test_files_with_either_alias_keep_their_values(spark, tmp_path):
     root = str(tmp_path)
     for n in range(5):
         write(f"{root}/a{n}.parquet", Id=pa.array([n], pa.int32()), Descr=[f"a{n}"])
@@ -109,8 +118,6 @@ def test_one_write_job_is_one_group(spark, tmp_path):
     scan = scan_folder(spark, root, ITEM, OPTIONS)
     assert scan.file_count == 5 and len(scan.frames) == 1
     assert len(rows_of(scan, ITEM)) == 100
-    uniform = scan_folder(spark, root, ITEM, replace(OPTIONS, uniform_files=True))
-    assert uniform.file_count == 5 and len(rows_of(uniform, ITEM)) == 100
 
 
 def test_folder_without_usable_columns(spark, tmp_path):

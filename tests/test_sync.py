@@ -178,8 +178,8 @@ def test_prune_is_skipped_when_nothing_is_staged(loaded):
     loaded.stage(RUN2, extract(items=[(4, 1, "gone", True, True)], links=[]))
     done = loaded.run(["Item", "ItemBlob"], prune_missing_rows=True)
     assert done["Item"].rows_deleted == 0 and len(loaded.rows(ITEM)) == 3
-    assert any("Skipping the prune" in w for w in done["Item"].warnings)
-    assert any("Skipping the prune" in w for w in done["ItemBlob"].warnings)
+    assert any("was not pruned" in w for w in done["Item"].warnings)
+    assert any("was not pruned" in w for w in done["ItemBlob"].warnings)
 
 
 def test_reseed_option(loaded):
@@ -272,7 +272,11 @@ def test_commit_conflict_and_old_versions(spark, tmp_path):
         version = store.commit(ITEM_CATEGORY, version, store.write(ITEM_CATEGORY, df, 1)[0], 1, 0)
     assert version.number == 4 and len(store.drop_old_versions(ITEM_CATEGORY, 2)) == 2
     assert store.read(ITEM_CATEGORY).count() == 1
+    in_flight, _ = store.write(ITEM_CATEGORY, df, 1)
     assert store.drop_old_versions(ITEM_CATEGORY, 2) == []
+    (tmp_path / "ItemCategory" / "_commits" / "half-written.json").write_text("")
+    version = store.commit(ITEM_CATEGORY, store.current("ItemCategory"), in_flight, 1, 0)
+    assert version.number == 5 and store.read(ITEM_CATEGORY).count() == 1
 
 
 def test_work_tables_use_the_clusters_shared_folder(spark, tmp_path, monkeypatch):

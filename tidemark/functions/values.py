@@ -150,5 +150,5 @@ def convert(column: Column, data_type: T.DataType, target: str, label: str) -> C
 def required(column: Column, label: str) -> Column:
     """The value itself, or an error that names the column when it is NULL."""
     return F.coalesce(
-        column, F.raise_error(F.lit(f"Column '{label}' is null but the target column is NOT NULL."))
+        column, F.raise_error(F.lit(f"'{label}' is null in a staged row; its target column is NOT NULL."))
     )

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.parents import orphan_rows
+from tidemark.operators.parents import orphan_values
 from tidemark.spec import TableSpec
 
 
@@ -28,10 +28,20 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def orphan_report(specs: Sequence[TableSpec], tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Every row that points at a missing parent; empty when the load is sound."""
+    """Every row that points at a missing parent; empty when the load is sound.
+
+    Distinct references are compared with the keys, and the few that miss are
+    joined back to the rows, which need not be shuffled for it.
+    """
     keys = {s.name: s.key for s in specs}
+
+    def orphans(spec: TableSpec, column: str, parent: str) -> DataFrame:
+        rows = tables[spec.name]
+        missing = orphan_values(rows, column, tables[parent], keys[parent]).select(F.col(column).alias("_missing"))
+        return rows.join(missing, F.col(column).eqNullSafe(F.col("_missing")), "left_semi")
+
     parts = [
-        orphan_rows(tables[spec.name], parent.column, tables[parent.table], keys[parent.table]).select(
+        orphans(spec, parent.column, parent.table).select(
             F.lit(f"{spec.name} -> {parent.table}").alias("Relationship"),
             F.col(spec.key).cast("bigint").alias("Id"),
             F.col(parent.column).cast("bigint").alias("ParentId"),

@@ -27,8 +27,8 @@ def require_column(names: Sequence[str], aliases: Sequence[str]) -> str:
     found = find_column(names, aliases)
     if found is None:
         raise MappingError(
-            f"None of the columns [{', '.join(aliases)}] exist in the staged file. "
-            f"Columns read from this file: [{', '.join(names)}]."
+            f"A required column is absent: looked for [{', '.join(aliases)}], found "
+            f"[{', '.join(names)}]. Add its staged name to the aliases of the column."
         )
     return found
 
@@ -36,9 +36,8 @@ def require_column(names: Sequence[str], aliases: Sequence[str]) -> str:
 def flag_warnings(names: Sequence[str], spec: TableSpec, options: SyncOptions) -> list[str]:
     """Filters that are switched on but have no staged column to look at."""
     return [
-        f"{flag.option} is enabled but the staged extract of {spec.name} has no "
-        f"{flag.aliases[0]} column, so no rows will be filtered on it. Stage {flag.aliases[0]} "
-        f"or turn the option off. Columns staged: [{', '.join(names)}]."
+        f"{spec.name} was loaded without the filter {flag.option}: it looks at {flag.aliases[0]}, "
+        f"and the files hold only [{', '.join(names)}]."
         for flag in spec.flags
         if getattr(options, flag.option) and not has_column(names, flag.aliases[0])
     ]

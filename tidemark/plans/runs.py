@@ -68,6 +68,6 @@ def run_pass(
             ledger.mark_failed(run.run_id, spec.name, str(problem))
             summary.failure = problem
             summary.failed_table = spec.name
-            log.error("Loading %s failed; stopping this pass.", spec.name, exc_info=problem)
+            log.error("The pass ends at %s; a later one resumes there.", spec.name, exc_info=problem)
             return summary
     return summary

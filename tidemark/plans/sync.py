@@ -145,8 +145,8 @@ def load_scan(
         if result.rows_staged == 0:
             if wants_prune:
                 result.warnings.append(
-                    f"Skipping the prune of {spec.name}: the staged extract held no rows, and "
-                    "pruning against an empty extract would delete every row in the table."
+                    f"{spec.name} was not pruned. Nothing was staged for it, so each of its target rows "
+                    "would count as gone; stage the table again if it is not empty at its source."
                 )
             _reseed(spec, store, options)
             return result
@@ -181,18 +181,18 @@ def load_scan(
         store.drop_old_versions(spec, options.keep_versions)
     if result.rows_deleted:
         result.warnings.append(
-            f"Pruned {result.rows_deleted} row(s) from {spec.name} that the staged extract no "
-            "longer contains."
+            f"{spec.name}: {result.rows_deleted} target row(s) had no staged counterpart and were "
+            f"deleted, with {result.child_rows_deleted} row(s) that referred to them."
         )
     if result.values_truncated:
         result.warnings.append(
-            f"{result.values_truncated} value(s) of {spec.name} were shortened to fit a narrower "
-            "target column."
+            f"{spec.name}: {result.values_truncated} text(s) were cut at the target's width; widen "
+            "the column in the table spec to keep them whole."
         )
     if result.rows_rejected:
         result.warnings.append(
-            f"{result.rows_rejected} staged row(s) of {spec.name} were discarded as duplicates or "
-            "as orphans with no matching parent row."
+            f"{spec.name}: {result.rows_rejected} of {result.rows_staged} staged row(s) did not reach "
+            "the merge, because their key came twice or a row they refer to is absent."
         )
     return result
 
@@ -232,9 +232,9 @@ def sync_table(
     if scan.file_count == 0:
         return SyncResult(
             spec.name,
-            warnings=[f"No Parquet files found under {folder}; leaving {spec.name} untouched."],
+            warnings=[f"{spec.name} is unchanged: '{folder}' holds no data file, which the options allow."],
         )
-    log.info("Loading %s from %d Parquet file(s) under %s.", spec.name, scan.file_count, folder)
+    log.info("%s: %d file(s) to read in %s", spec.name, scan.file_count, folder)
     result = load_scan(spark, spec, scan, store, options, specs)
     for warning in result.warnings:
         log.warning(warning)

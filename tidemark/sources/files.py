@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -78,20 +79,23 @@ def read_text(spark: SparkSession, file: str) -> str:
 
 
 def create_text(spark: SparkSession, file: str, text: str) -> bool:
-    """Write a new small file; False if it exists already."""
+    """Write a new small file; False if it exists already.
+
+    The text goes to a temporary name first and is then renamed, so that a reader
+    never sees part of it. Hadoop's rename does not replace a file.
+    """
     fs, path = _file_system(spark, file)
     if fs.exists(path):
         return False
-    try:
-        stream = fs.create(path, False)
-    except Exception as problem:
-        if fs.exists(path):
-            return False
-        raise problem
+    temporary = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path.getParent(), f"_{uuid.uuid4().hex}.tmp")
+    stream = fs.create(temporary, False)
     try:
         stream.write(bytearray(text.encode("utf-8")))
     finally:
         stream.close()
+    if fs.exists(path) or not fs.rename(temporary, path):
+        fs.delete(temporary, False)
+        return False
     return True
 
 
@@ -107,10 +111,7 @@ class Run:
 
 
 def newest_run(spark: SparkSession, stage_root: str, prefix: str = "run_") -> Run:
-    """The run folder with the ordinally highest name among those with the prefix.
-
-    Run folders are date-stamped, so the highest name is the newest run.
-    """
+    """The last run folder by name; names carry the date, so name order is time order."""
     root = stage_root.rstrip("/")
     names = [
         name
@@ -119,8 +120,8 @@ def newest_run(spark: SparkSession, stage_root: str, prefix: str = "run_") -> Ru
     ]
     if not names:
         raise ConfigurationError(
-            f"No folders starting with '{prefix}' were found under '{root}'. "
-            "Name a run id, adjust the prefix, or stage a run first."
+            f"'{root}' holds no run: none of its folders is named {prefix}*. Either nothing was "
+            "staged there yet, or run_folder_prefix or run_id has to be set."
         )
     # UTF-16BE bytes sort like UTF-16 code units.
     newest = max(names, key=lambda name: name.encode("utf-16-be"))

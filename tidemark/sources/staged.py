@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,14 +20,11 @@ from tidemark.spec import TableSpec
 # part-00012-<job>-c000.snappy.parquet, part-00012-<job>_00003.c000.snappy.parquet.
 _JOB_ID = r"/part-\d+-([0-9a-fA-F-]{36})[^/]*$"
 
-# Up to this many write jobs, each footer is read on its own.
-_FEW_JOBS = 16
-
 
 def read_columns(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Read only the named columns, whatever their case; absent names are left out."""
     if not columns:
-        raise ValueError("At least one column must be requested.")
+        raise ValueError("read_columns was given no column names; a scan without columns would return rows of nothing.")
     paths = [path] if isinstance(path, str) else list(path)
     df = _reader(spark).parquet(*paths)
     wanted = {name.lower() for name in columns}
@@ -54,52 +51,19 @@ def _needed_fields(schema: T.StructType, spec: TableSpec) -> T.StructType:
     return T.StructType([schema[name] for name in dict.fromkeys(p for p in picks if p)])
 
 
-def _one_choice_only(schema: T.StructType, spec: TableSpec) -> bool:
-    """True if no target column has two candidate names in the schema."""
-    present = {name.lower() for name in schema.names}
-    groups = [c.aliases for c in spec.columns] + [f.aliases for f in spec.flags]
-    return all(len({a.lower() for a in group} & present) <= 1 for group in groups)
-
-
-def _merged_schema(spark: SparkSession, paths: Sequence[str]) -> T.StructType | None:
-    """The union of all schemas, read by a Spark job; None if types conflict."""
-    try:
-        return _reader(spark).option("mergeSchema", True).parquet(*paths).schema
-    except PySparkException as problem:
-        if "MERGE" in (problem.getCondition() or "") or "merg" in str(problem):
-            return None
-        raise
-    except Exception as problem:  # a Java exception that PySpark does not translate
-        if "merg" in str(problem).lower():
-            return None
-        raise
-
-
 def _schema_groups(
-    spark: SparkSession, files: Sequence[str], spec: TableSpec, folder: str | None
+    spark: SparkSession, files: Sequence[str], spec: TableSpec
 ) -> list[tuple[T.StructType, list[str]]]:
-    """Split files (one per write job) into groups that resolve the same way.
+    """Put files (one per write job) that resolve the same way into one group.
 
-    Write jobs are usually few and looked at one by one. For many, a group is
-    settled when the union of its schemas, which a Spark job reads, leaves one
-    candidate per column; otherwise it is halved.
+    Each is looked at, however many there are: a column that one job left out
+    must be noticed, and a union of schemas would hide it. An extract is
+    written by one job per table as a rule.
     """
     settled: dict[str, tuple[T.StructType, list[str]]] = {}
-    files = sorted(files)
-    pending = [[f] for f in files] if len(files) <= _FEW_JOBS else [files]
-    while pending:
-        group = pending.pop()
-        if len(group) == 1:
-            schema = spark.read.parquet(group[0]).schema
-        else:
-            whole = folder is not None and len(group) == len(files)
-            schema = _merged_schema(spark, [folder] if whole else group)
-            if schema is None or not _one_choice_only(schema, spec):
-                middle = len(group) // 2
-                pending += [group[:middle], group[middle:]]
-                continue
-        needed = _needed_fields(schema, spec)
-        settled.setdefault(needed.json().lower(), (needed, []))[1].extend(group)
+    for file in sorted(files):
+        needed = _needed_fields(spark.read.parquet(file).schema, spec)
+        settled.setdefault(needed.json().lower(), (needed, []))[1].append(file)
     return list(settled.values())
 
 
@@ -123,8 +87,7 @@ def scan_files(
     if file_count == 0:
         return StagedScan([], 0)
     representatives = sorted(row["path"] for row in jobs)
-    probed = representatives[:1] if options.uniform_files else representatives
-    groups = _schema_groups(spark, probed, spec, folder)
+    groups = _schema_groups(spark, representatives, spec)
 
     frames, warnings = [], []
     for needed, members in groups:
@@ -152,13 +115,13 @@ def scan_folder(
         listing = listing.coalesce(max(64, spark.sparkContext.defaultParallelism))
     except AnalysisException as problem:
         if problem.getCondition() == "PATH_NOT_FOUND":
-            raise EmptySourceError(f"The staged folder '{folder}' does not exist.") from problem
+            raise EmptySourceError(f"'{folder}' does not exist; the run was staged without it or under another name.") from problem
         raise
     scan = scan_files(spark, listing, spec, options, folder)
     if scan.file_count == 0 and not options.allow_empty_source_folders:
         raise EmptySourceError(
-            f"No Parquet files were found under '{folder}', so {spec.name} was not loaded. "
-            "Confirm the extract finished writing this run, or set allow_empty_source_folders "
-            "if the table is genuinely empty."
+            f"{spec.name} has no data file below '{folder}' and stays as it is. An extract that is "
+            "still being written looks the same; for a table that may be empty, turn on "
+            "allow_empty_source_folders."
         )
     return scan

@@ -8,6 +8,7 @@ the table as it was, and a folder is never read and overwritten at once.
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Mapping
 from dataclasses import asdict, dataclass, field
@@ -21,6 +22,10 @@ from tidemark.sources.files import create_text, delete_folder, list_names, read_
 from tidemark.spec import TableSpec
 
 
+# Names of commit files; whatever else lies beside them is no commit.
+_COMMIT = re.compile(r"\d{20}\.json$")
+
+
 @dataclass(frozen=True)
 class Version:
     """What a commit file says about one version of a table."""
@@ -54,7 +59,7 @@ class TargetStore:
     def current(self, name: str) -> Version | None:
         numbers = sorted(
             n for n in list_names(self.spark, self._commits(name), directories=False)
-            if n.endswith(".json")
+            if _COMMIT.match(n)
         )
         if not numbers:
             return None
@@ -146,15 +151,20 @@ class TargetStore:
         delete_folder(self.spark, f"{self.root}/{spec.name}/{folder}")
 
     def drop_old_versions(self, spec: TableSpec, keep_last: int = 2) -> list[str]:
-        """Delete data folders that none of the last commits names."""
+        """Delete the data folders of older commits that none of the last commits names.
+
+        A folder that no commit names may be another writer's work and stays.
+        """
         commits = sorted(list_names(self.spark, self._commits(spec.name), directories=False))
-        commits = [c for c in commits if c.endswith(".json")][-max(keep_last, 1):]
-        kept = {
+        named = [
             json.loads(read_text(self.spark, f"{self._commits(spec.name)}/{c}"))["folder"]
             for c in commits
-        }
+            if _COMMIT.match(c)
+        ]
+        # Commits that only move a mark name the same folder again and do not count.
+        kept = set(list(dict.fromkeys(reversed(named)))[: max(keep_last, 1)])
         folders = list_names(self.spark, f"{self.root}/{spec.name}", directories=True)
-        old = [f for f in folders if f.startswith("version-") and f not in kept]
+        old = [f for f in folders if f in set(named) - kept]
         for folder in old:
             self.discard(spec, folder)
         return old

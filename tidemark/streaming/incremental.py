@@ -27,7 +27,6 @@ def staged_file_stream(
     spark: SparkSession,
     specs: Sequence[TableSpec],
     options: SyncOptions,
-    max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """A stream of the files that appear in any run folder of the tables.
 
@@ -40,9 +39,9 @@ def staged_file_stream(
         .schema(FILE_SCHEMA)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", DATA_FILE_GLOB)
+        # Runs that were copied or restored carry old time stamps and count all the same.
+        .option("maxFileAge", "36500d")
     )
-    if max_files_per_trigger is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     root = options.stage_root.rstrip("/")
     return reader.load(f"{root}/{_any_case(options.run_folder_prefix)}*/{{{folders}}}").select(
         "path", "length"
@@ -95,15 +94,14 @@ def incremental_sync(
     *,
     name: str = "tidemark",
     interval: str | None = None,
-    max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Keep the target tables in step with every run that is staged.
 
     Without an ``interval`` all files that are there now are loaded and the
     query ends. Unlike a pass, which loads the newest run, this loads every
-    new run in order. Pruning needs a complete snapshot and is refused. With
-    ``max_files_per_trigger`` a run may be split over batches; files come in
-    the order they were written, which is parents first for ``extract_run``.
+    new run in order. Pruning needs a complete snapshot and is refused. A run
+    must be complete when its files appear: rows of a later part of it find
+    their parents, rows of an earlier part are not looked at again.
     """
     options.validate()
     if options.prune_missing_rows:
@@ -119,7 +117,7 @@ def incremental_sync(
             files.unpersist()
 
     writer = (
-        staged_file_stream(spark, specs, options, max_files_per_trigger)
+        staged_file_stream(spark, specs, options)
         .writeStream.queryName(name)
         .option("checkpointLocation", checkpoint)
         .foreachBatch(each_batch)

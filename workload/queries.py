@@ -35,6 +35,7 @@ from tidemark.operators import (
     staged_only,
     upsert,
 )
+from tidemark.operators.parents import ELIGIBLE
 from tidemark.options import SyncOptions
 from tidemark.plans.ledger import RunLedger, current_state, pending_tables, run_report
 from tidemark.plans.maintain import delete_ids, seed, verify
@@ -85,11 +86,15 @@ def link_target(roles: Roles) -> DataFrame:
 
 
 def eligible_links(roles: Roles) -> DataFrame:
-    deduplicated = first_per_key(mapped_links(roles), "ItemBlobId")
-    return keep_with_parents(
-        deduplicated,
-        [("ItemId", roles.loaded_items(), "Id"), ("BlobId", roles.loaded_blobs(), "BlobId")],
-    )
+    """As in a pass: distinct references are checked, so the rows are shuffled once, for the ranking."""
+    mapped = mapped_links(roles)
+    orphans = [
+        ("ItemId", orphan_values(mapped, "ItemId", roles.loaded_items(), "Id")),
+        ("BlobId", orphan_values(mapped, "BlobId", roles.loaded_blobs(), "BlobId")),
+    ]
+    order = [F.col(c).asc_nulls_last() for c in ("ItemId", "BlobId")]
+    ranked = first_per_key(flag_eligible(mapped, orphans), "ItemBlobId", order)
+    return ranked.where(ELIGIBLE).drop(ELIGIBLE)
 
 
 def eligible_items(roles: Roles) -> DataFrame:
