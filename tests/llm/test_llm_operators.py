@@ -132,6 +132,23 @@ def test_fingerprints_and_components(spark, odd):
     assert {r["component_id"] for r in rows if r["fingerprint"] == "0" * 16} == {3}
 
 
+def test_near_duplicates_by_similarity(spark):
+    rng = np.random.default_rng(17)
+    vocabulary = np.array([f"v{i}" for i in range(3000)])
+    rows, similarity = [], {}
+    for d in range(300):
+        text = rng.choice(vocabulary, 200)
+        copy = text.copy()
+        copy[rng.choice(200, [2, 3, 14][d % 3], replace=False)] = "other"
+        rows += [(2 * d, " ".join(text)), (2 * d + 1, " ".join(copy))]
+        a, b = ({tuple(t[i : i + 5]) for i in range(196)} for t in (text, copy))
+        similarity[d] = len(a & b) / len(a | b)
+    kept = {r["doc_id"] for r in simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert all(2 * d in kept for d in similarity)
+    found = lambda low, high: np.mean([2 * d + 1 not in kept for d, j in similarity.items() if low <= j < high])
+    assert found(0.89, 1) >= 0.93 and found(0.84, 0.89) >= 0.7 and found(0, 0.7) <= 0.02
+
+
 @pytest.mark.parametrize("max_bits", [2, 4])
 def test_index_finds_every_link_of_hot_nodes(spark, tmp_path, max_bits):
     rng = np.random.default_rng(max_bits)

@@ -270,14 +270,14 @@ def near_duplicates(
 
 
 def drop_near_duplicates(
-    docs: DataFrame, shingle_words: int = 5, max_bits: int = 6, fingerprint_count: int = 4, max_total: int | None = 40
+    docs: DataFrame, shingle_words: int = 5, max_bits: int = 6, fingerprint_count: int = 6, max_total: int | None = 60
 ) -> DataFrame:
     """One row of each component, with all columns: the one with the smallest id (by hash among equals).
 
     A Jaccard similarity J of shingle sets is a cosine of about 2 J / (1 + J). At
-    J = 0.8 two fingerprints of 64 bits differ in 9.7 bits on average, four in 38.8,
-    so 40 bits of 256 stand for a similarity of 0.8, and 6 bits of one of the four
-    find most pairs above. Rows with equal ids and texts are copies of one another.
+    J = 0.8 two fingerprints of 64 bits differ in 9.7 bits on average, six in 58, so
+    60 bits of 384 stand for a similarity of 0.8, and 6 bits of one of the six find
+    most pairs above. Rows with equal ids and texts are copies of one another.
     """
     near = near_duplicates(docs, shingle_words, max_bits, fingerprint_count, max_total)
     order = F.struct(F.coalesce("doc_id", F.lit(LAST_ID)), *ROW)
