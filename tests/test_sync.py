@@ -402,17 +402,38 @@ def test_stream_loads_each_new_run_once(world):
 
 
 def test_stream_batch_is_idempotent(world):
-    from tidemark.sources.files import list_data_files
     from tidemark.streaming.incremental import apply_batch
 
     world.stage(RUN1, extract(items=ITEMS, links=LINKS))
-    files = list_data_files(world.spark, world.options.stage_root)
+    runs = world.spark.createDataFrame([(RUN1,)], "run string")
     for _ in range(2):
-        apply_batch(world.spark, files, 0, ITEM_TABLES, world.store, world.options, "s")
+        apply_batch(world.spark, runs, 0, ITEM_TABLES, world.store, world.options, "s")
         assert [world.store.current(s.name).number for s in ITEM_TABLES] == [1, 1, 1, 1]
     assert world.store.current("Item").tags == {"stream:s": [0, RUN1]}
 
 
+def test_stream_waits_for_the_end_of_a_run(world):
+    """Links are staged before their items; none of them is lost."""
+    from tidemark.sources.extract import mark_complete
+
+    def drain():
+        incremental_sync(world.spark, ITEM_TABLES, world.store, world.options, f"{world.root}/checkpoint").awaitTermination()
+
+    frames = {n: world.spark.createDataFrame(list(r), SCHEMAS[n]) for n, r in extract(items=ITEMS, links=LINKS).items()}
+    stage = world.options.stage_root
+    extract_run(world.spark, [ITEM_BLOB], frames, stage, RUN1, complete=False)
+    drain()
+    assert world.store.current("ItemBlob") is None
+    extract_run(world.spark, [s for s in ITEM_TABLES if s is not ITEM_BLOB], frames, stage, RUN1, complete=False)
+    drain()
+    assert world.store.current("Item") is None
+    mark_complete(world.spark, stage, RUN1)
+    # A run that was restored from elsewhere: its files are years old.
+    os.utime(f"{stage}/{RUN1}/run.complete", (1_500_000_000, 1_500_000_000))
+    drain()
+    assert world.rows(ITEM_BLOB) == [(10, 1, 1), (11, 2, 2), (12, 3, 1)]
+
+
 def test_relational_staging_gets_the_mapped_rows(loaded, monkeypatch):
     from tidemark.plans import sync
     from tidemark.sources.files import newest_run

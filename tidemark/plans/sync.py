@@ -226,6 +226,7 @@ def sync_table(
     store: TargetStore,
     options: SyncOptions,
     specs: Sequence[TableSpec],
+    tags: Mapping[str, object] | None = None,
 ) -> SyncResult:
     folder = f"{run.path.rstrip('/')}/{options.folder_of(spec)}"
     scan = scan_folder(spark, folder, spec, options)
@@ -235,7 +236,7 @@ def sync_table(
             warnings=[f"{spec.name} is unchanged: '{folder}' holds no data file, which the options allow."],
         )
     log.info("%s: %d file(s) to read in %s", spec.name, scan.file_count, folder)
-    result = load_scan(spark, spec, scan, store, options, specs)
+    result = load_scan(spark, spec, scan, store, options, specs, tags)
     for warning in result.warnings:
         log.warning(warning)
     return result

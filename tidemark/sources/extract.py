@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.options import SyncOptions, check_no_placeholder
+from tidemark.sources.files import COMPLETE_FILE, create_text, delete_folder
 from tidemark.sources.jdbc import JdbcSource
 from tidemark.spec import TableSpec
 
@@ -38,6 +39,11 @@ def _source_frame(spark: SparkSession, source: Source, spec: TableSpec) -> DataF
     return df.select(*spec.extract_columns)
 
 
+def mark_complete(spark: SparkSession, stage_root: str, run_id: str) -> None:
+    """Say that all of a run is staged; streams load it from then on."""
+    create_text(spark, f"{stage_root.rstrip('/')}/{run_id}/{COMPLETE_FILE}", run_id)
+
+
 def extract_run(
     spark: SparkSession,
     specs: Sequence[TableSpec],
@@ -46,11 +52,17 @@ def extract_run(
     run_id: str | None = None,
     num_files: Mapping[str, int] | None = None,
     options: SyncOptions | None = None,
+    complete: bool = True,
 ) -> tuple[str, dict[str, int]]:
-    """Stage every table below ``<stage_root>/<run_id>``; run id and row counts."""
+    """Stage every table below ``<stage_root>/<run_id>``; run id and row counts.
+
+    The run is marked complete at the end. A run that is staged in several calls
+    passes ``complete=False`` in all but the last.
+    """
     check_no_placeholder(stage_root=stage_root, run_id=run_id or "")
     options = options or SyncOptions()
     run_id = run_id or default_run_id()
+    delete_folder(spark, f"{stage_root.rstrip('/')}/{run_id}/{COMPLETE_FILE}")
     counts = {
         spec.name: stage(
             _source_frame(spark, source, spec),
@@ -59,6 +71,8 @@ def extract_run(
         )
         for spec in specs
     }
+    if complete:
+        mark_complete(spark, stage_root, run_id)
     return run_id, counts
 
 

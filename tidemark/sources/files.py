@@ -13,6 +13,9 @@ from tidemark.errors import ConfigurationError
 # Fixed value: staged data files end in .parquet, in any case.
 DATA_FILE_GLOB = "*.[pP][aA][rR][qQ][uU][eE][tT]"
 
+# Stands in a run folder once all of the run is staged.
+COMPLETE_FILE = "run.complete"
+
 FILE_SCHEMA = T.StructType(
     [
         T.StructField("path", T.StringType()),
@@ -50,12 +53,6 @@ def _file_system(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(conf), hadoop_path
 
 
-def qualified(spark: SparkSession, folder: str) -> str:
-    """The path with its scheme, as file listings give it."""
-    fs, path = _file_system(spark, folder)
-    return fs.makeQualified(path).toString()
-
-
 def list_names(spark: SparkSession, folder: str, *, directories: bool) -> list[str]:
     """Names directly below a folder; an absent folder has none."""
     fs, path = _file_system(spark, folder)

@@ -11,9 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.errors import ConfigurationError
 from tidemark.options import SyncOptions
-from tidemark.plans.sync import load_scan
-from tidemark.sources.files import DATA_FILE_GLOB, FILE_SCHEMA, qualified, read_text
-from tidemark.sources.staged import scan_files
+from tidemark.plans.sync import sync_table
+from tidemark.sources.files import COMPLETE_FILE, FILE_SCHEMA, Run, read_text
 from tidemark.sources.targets import TargetStore
 from tidemark.spec import TableSpec, load_order
 
@@ -23,66 +22,46 @@ def _any_case(text: str) -> str:
     return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in text)
 
 
-def staged_file_stream(
-    spark: SparkSession,
-    specs: Sequence[TableSpec],
-    options: SyncOptions,
-) -> DataFrame:
-    """A stream of the files that appear in any run folder of the tables.
+def complete_run_stream(spark: SparkSession, options: SyncOptions) -> DataFrame:
+    """A stream of the names of runs, each as soon as it is marked complete.
 
-    The stream carries names only. File contents are read per micro-batch by
-    the same scan as a batch pass, so aliases are still resolved per extract.
+    The stream carries names only. A run is read by the same scan as in a batch
+    pass, from its whole folders, so it is loaded all at once or not at all.
     """
-    folders = ",".join(options.folder_of(s) for s in specs)
     reader = (
         spark.readStream.format("binaryFile")
         .schema(FILE_SCHEMA)
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", DATA_FILE_GLOB)
         # Runs that were copied or restored carry old time stamps and count all the same.
         .option("maxFileAge", "36500d")
     )
     root = options.stage_root.rstrip("/")
-    return reader.load(f"{root}/{_any_case(options.run_folder_prefix)}*/{{{folders}}}").select(
-        "path", "length"
-    )
+    marks = reader.load(f"{root}/{_any_case(options.run_folder_prefix)}*/{COMPLETE_FILE}")
+    return marks.select(F.element_at(F.split("path", "/"), -2).alias("run"))
 
 
 def apply_batch(
     spark: SparkSession,
-    files: DataFrame,
+    runs: DataFrame,
     batch_id: int,
     specs: Sequence[TableSpec],
     store: TargetStore,
     options: SyncOptions,
     stream_id: str,
 ) -> None:
-    """Merge the files of one micro-batch: run by run, parents before children.
+    """Merge the runs of one micro-batch: run by run, parents before children.
 
     A commit carries the stream, batch and run it came from, so a batch that
     is replayed after a failure goes on where it stopped.
     """
     mark = f"stream:{stream_id}"
-    # What comes after the stage root: run folder, table folder, file.
-    root = qualified(spark, options.stage_root)
-    relative = F.substr(F.col("path"), F.lit(len(root) + 2))
-    placed = files.select(
-        "path", relative.alias("relative"), F.substring_index(relative, "/", 1).alias("run")
-    )
-    runs = sorted(r["run"] for r in placed.select("run").distinct().collect())
-    for run in runs:
+    for run in sorted(r["run"] for r in runs.select("run").distinct().collect()):
         for spec in load_order(specs):
-            folder = options.folder_of(spec)
-            listing = placed.where(
-                (F.col("run") == run) & F.col("relative").startswith(f"{run}/{folder}/")
-            ).select("path")
             version = store.current(spec.name)
             seen = (version.tags if version else {}).get(mark)
-            if seen is not None and tuple(seen) >= (batch_id, run):
-                continue
-            scan = scan_files(spark, listing, spec, options)
-            if scan.file_count:
-                load_scan(spark, spec, scan, store, options, specs, tags={mark: [batch_id, run]})
+            if seen is None or tuple(seen) < (batch_id, run):
+                place = Run(run, f"{options.stage_root.rstrip('/')}/{run}")
+                sync_table(spark, spec, place, store, options, specs, tags={mark: [batch_id, run]})
 
 
 def incremental_sync(
@@ -97,27 +76,24 @@ def incremental_sync(
 ) -> StreamingQuery:
     """Keep the target tables in step with every run that is staged.
 
-    Without an ``interval`` all files that are there now are loaded and the
+    Without an ``interval`` all runs that are complete now are loaded and the
     query ends. Unlike a pass, which loads the newest run, this loads every
-    new run in order. Pruning needs a complete snapshot and is refused. A run
-    must be complete when its files appear: rows of a later part of it find
-    their parents, rows of an earlier part are not looked at again.
+    new run, those of a batch in order of names. A run counts once its mark is
+    there: ``extract_run`` sets it last, ``mark_complete`` sets it for runs that
+    come from elsewhere. A run without one of the tables stops the stream, as it
+    stops a pass. Pruning is left to passes over one chosen run and is refused.
     """
     options.validate()
     if options.prune_missing_rows:
         raise ConfigurationError("Pruning needs a complete snapshot and cannot run on a stream.")
 
-    def each_batch(files: DataFrame, batch_id: int) -> None:
-        files.persist()
-        try:
-            # The checkpoint names the stream: a new checkpoint starts a new count of batches.
-            stream_id = json.loads(read_text(spark, f"{checkpoint.rstrip('/')}/metadata"))["id"]
-            apply_batch(spark, files, batch_id, specs, store, options, stream_id)
-        finally:
-            files.unpersist()
+    def each_batch(runs: DataFrame, batch_id: int) -> None:
+        # The checkpoint names the stream: a new checkpoint starts a new count of batches.
+        stream_id = json.loads(read_text(spark, f"{checkpoint.rstrip('/')}/metadata"))["id"]
+        apply_batch(spark, runs, batch_id, specs, store, options, stream_id)
 
     writer = (
-        staged_file_stream(spark, specs, options)
+        complete_run_stream(spark, options)
         .writeStream.queryName(name)
         .option("checkpointLocation", checkpoint)
         .foreachBatch(each_batch)

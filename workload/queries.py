@@ -657,12 +657,15 @@ def mixed_schema_scan(roles):
 
 @query
 def stream_incremental(roles):
-    """Two runs arrive one after the other; the stream loads each when it is there."""
+    """Two runs arrive one after the other, the second in two parts; the stream loads each when it is complete."""
     root = scratch_folder(roles.spark, "stream")
     store = TargetStore(roles.spark, f"{root}/target")
     options = SyncOptions(stage_root=f"{root}/stage")
-    for run_id, frames in {FIRST: roles.earlier(), SECOND: roles.staged()}.items():
-        extract_run(roles.spark, TABLES, frames, f"{root}/stage", run_id)
+    children = [spec for spec in TABLES if spec.parents]
+    parents = [spec for spec in TABLES if not spec.parents]
+    steps = [(FIRST, roles.earlier(), TABLES, True), (SECOND, roles.staged(), children, False), (SECOND, roles.staged(), parents, True)]
+    for run_id, frames, specs, complete in steps:
+        extract_run(roles.spark, specs, frames, f"{root}/stage", run_id, complete=complete)
         incremental_sync(
             roles.spark, TABLES, store, options, f"{root}/checkpoint"
         ).awaitTermination()
