@@ -156,7 +156,7 @@ def test_index_finds_every_link_of_hot_nodes(spark, tmp_path, max_bits):
     flips = np.array([sum(1 << int(b) for b in rng.choice(64, rng.integers(0, 6), replace=False)) for _ in range(1500)], np.uint64)
     values = np.unique(np.r_[centre ^ flips, rng.integers(0, 1 << 63, 500, dtype=np.uint64)])
     signed = values.view(np.int64).tolist()
-    fps = spark.createDataFrame([(v, v, v.to_bytes(8, "little", signed=True)) for v in signed], "vertex bigint, fp bigint, code binary")
+    fps = spark.createDataFrame([(v, [v], v.to_bytes(8, "little", signed=True)) for v in signed], "vertex bigint, fps array<bigint>, code binary")
     stars = components(fingerprint_links(fps, max_bits, str(tmp_path), leaf=128), str(tmp_path))
     root = dict(stars.collect())
     pairs = [np.flatnonzero(np.bitwise_count(values[i + 1 :] ^ v) <= max_bits) + i + 1 for i, v in enumerate(values)]

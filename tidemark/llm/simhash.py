@@ -168,12 +168,12 @@ def _leaf_links(max_bits: int, max_total: int):
         for batch in _with_end(batches):
             if batch is not None and batch.num_rows:
                 codes = np.frombuffer(b"".join(batch["code"].to_pylist()), np.uint64).reshape(batch.num_rows, -1)
-                new = [*(batch[c].to_numpy() for c in ("mask", "pattern", "vertex", "fp")), codes]
+                new = [*(batch[c].to_numpy() for c in ("which", "mask", "pattern", "vertex", "fp")), codes]
                 held = new if held is None else [np.concatenate(x) for x in zip(held, new)]
             if held is None or not len(held[0]) or (batch is not None and not batch.num_rows):
                 continue
-            mask, pattern, vertex, fp, codes = held
-            change = np.r_[True, (mask[1:] != mask[:-1]) | (pattern[1:] != pattern[:-1])]
+            *node, vertex, fp, codes = held
+            change = np.r_[True, np.any([part[1:] != part[:-1] for part in node], axis=0)]
             group = np.cumsum(change)
             # the last group may go on in the next batch; leaves are small, so little is held
             done = len(fp) if batch is None else int(np.searchsorted(group, group[-1]))
@@ -204,34 +204,37 @@ def _as_bigint(value: int) -> int:
 
 
 def fingerprint_links(fps: DataFrame, max_bits: int, work: str, max_total: int | None = None, leaf: int = LEAF) -> DataFrame:
-    """``u, v``: links that connect all vertices whose ``fp`` are within ``max_bits``.
-
-    ``fps`` has distinct ``vertex``, the ``fp`` to search by and ``code``, all fingerprints
-    as bytes, which must be within ``max_total`` bits as well. Small leaves give every
-    link, large ones a forest with the same reach, so links stay in proportion to
-    fingerprints. Vertices that share a fingerprint count as one member of a node only
-    if their codes are equal, so ``leaf`` bounds texts and not copies.
+    """``u, v``: links that connect all vertices one of whose ``fps`` is within ``max_bits``.
+
+    ``fps`` has distinct ``vertex``, the array ``fps`` to search by and ``code``, all
+    fingerprints as bytes, which must be within ``max_total`` bits as well. Each place of
+    the array has an index of its own (``which``), and all are built in the same jobs.
+    Small leaves give every link, large ones a forest with the same reach, so links stay
+    in proportion to fingerprints. Vertices that share a fingerprint count as one member
+    of a node only if their codes are equal, so ``leaf`` bounds texts and not copies.
     """
     spark = fps.sparkSession
     found = []
-    level, masks, rows = 0, {0}, fps.select(F.lit(0).cast("bigint").alias("mask"), "vertex", "fp", "code")
+    node = ["which", "mask", "pattern"]
+    rows = fps.select("vertex", F.posexplode("fps").alias("which", "fp"), "code").withColumn("mask", F.lit(0).cast("bigint"))
+    level, masks = 0, {0}
     parts = shuffle_partitions(spark)
     while True:
         level += 1
         below = {m: sorted(set(_children(m, max_bits)) - {m}) for m in masks}
         children = F.create_map(*[x for m, c in below.items() for x in (F.lit(_as_bigint(m)), F.array(*[F.lit(_as_bigint(k)) for k in c]))])
         masks = {k for c in below.values() for k in c}
-        rows = rows.select(F.explode(F.element_at(children, F.col("mask"))).alias("mask"), "vertex", "fp", "code")
+        rows = rows.select("which", F.explode(F.element_at(children, F.col("mask"))).alias("mask"), "vertex", "fp", "code")
         rows = rows.distinct() if level > 1 else rows
         rows = rows.withColumn("pattern", F.col("fp").bitwiseAND(F.col("mask")))
-        counts = rows.groupBy("mask", "pattern").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        members = stored(rows.join(counts, ["mask", "pattern"]), f"{work}/level-{level}")
+        counts = rows.groupBy(node).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        members = stored(rows.join(counts, node), f"{work}/level-{level}")
         full = F.lit(_as_bigint((1 << BITS) - 1))
-        ready = members.where((F.col("n") <= leaf) | (F.col("mask") == full)).select("mask", "pattern", "vertex", "fp", "code")
-        ready = ready.repartition(parts, "mask", "pattern").sortWithinPartitions("mask", "pattern", "fp")
+        ready = members.where((F.col("n") <= leaf) | (F.col("mask") == full)).select(*node, "vertex", "fp", "code")
+        ready = ready.repartition(parts, *node).sortWithinPartitions(*node, "fp")
         links = ready.mapInArrow(_leaf_links(max_bits, BITS * 64 if max_total is None else max_total), "u bigint, v bigint")
         found.append(stored(links, f"{work}/links-{level}"))
-        rows = members.where((F.col("n") > leaf) & (F.col("mask") != full)).select("mask", "vertex", "fp", "code")
+        rows = members.where((F.col("n") > leaf) & (F.col("mask") != full)).select("which", "mask", "vertex", "fp", "code")
         if rows.isEmpty():
             return reduce(DataFrame.unionByName, found)
 
@@ -256,11 +259,7 @@ def near_duplicates(
     classes = marked.groupBy("fps").agg(F.coalesce(F.min("doc_id"), F.lit(LAST_ID)).alias("first"))
     code = F.concat(*[F.unhex(F.lpad(F.hex(F.col("fps")[i]), 16, "0")) for i in range(fingerprint_count)])
     classes = stored(classes.select(vertex.alias("vertex"), "fps", "first", code.alias("code")), f"{work}/classes")
-    links = [
-        fingerprint_links(classes.select("vertex", F.col("fps")[i].alias("fp"), "code"), max_bits, f"{work}/{i}", max_total)
-        for i in range(fingerprint_count)
-    ]
-    stars = components(reduce(DataFrame.unionByName, links), work)
+    stars = components(fingerprint_links(classes.select("vertex", "fps", "code"), max_bits, work, max_total), work)
     rooted = classes.join(stars.withColumnRenamed("u", "vertex"), "vertex", "left").select("vertex", "first", F.coalesce("v", "vertex").alias("root"))
     lowest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = rooted.join(lowest, "root").select("vertex", F.when(F.col("component_id") != LAST_ID, F.col("component_id")).alias("component_id"))
