@@ -20,6 +20,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +31,8 @@ MAX_EDITS = 0.25  # of the item's words
 MIN_WORDS = 6
 WALKS, TABLES, SAMPLES = 12, 6, 3
 BLOCK_WORDS = 200_000
+# Sizes of what a task works on at a time; they bound its memory and change no result.
+_SLICE_BYTES, _WINDOWS = 2 << 20, 4_096
 FOUND = "doc_id bigint, item_id bigint, start bigint, stop bigint, edits bigint, similarity double"
 _END = np.uint64(0)
 
@@ -87,20 +90,20 @@ class BenchmarkIndex:
 
     def keys(self, words: np.ndarray, starts: np.ndarray, ends: np.ndarray, n: int) -> Iterator[np.ndarray]:
         """One key per window for each table of each walk."""
-        tables_per_walk = self.steps[n].shape[1]
-        for walk in range(self.walks):
-            steps = self.steps[n][walk]
-            at, seen = starts.copy(), {}
-            for j in range(int(steps.max()) + 1):
-                inside = at < ends
-                word = np.where(inside, words[np.minimum(at, len(words) - 1)], _END)
+        steps = self.steps[n]
+        at, ends = np.tile(starts, (self.walks, 1)), ends[None, :]
+        sampled, seen = set(steps.ravel().tolist()), {}
+        for j in range(int(steps.max()) + 1):
+            inside = at < ends
+            word = np.where(inside, words[np.minimum(at, len(words) - 1)], _END)
+            if j in sampled:
                 seen[j] = word
-                at = at + (inside & (mixed(word, self.seeds[walk, j : j + 1]) >> np.uint64(63)).astype(bool))
-            for t, sample in enumerate(steps):
-                key = np.full(len(starts), walk * tables_per_walk + t, np.uint64)
-                for j in sample.tolist():
-                    key = mixed(key, seen[j])
-                yield key
+            at += inside & (mixed(word, self.seeds[:, j : j + 1]) >> np.uint64(63)).astype(bool)
+        for number, sample in enumerate(steps.reshape(-1, steps.shape[2]).tolist()):
+            key = np.full(len(starts), number, np.uint64)
+            for j in sample:
+                key = mixed(key, seen[j][number // steps.shape[1]])
+            yield key
 
     def search(self, texts: list[bytes], cache: WordHashes) -> Iterator[tuple[int, int, int, int, int]]:
         """(text, item, start, stop, edits) for each item within its edits of a run of a text."""
@@ -124,11 +127,12 @@ class BenchmarkIndex:
             starts = np.flatnonzero(seen[np.maximum(stop - 1, 0)] - seen[: len(words)] >= need)
             if not len(starts):
                 continue
-            for keys in self.keys(words, starts, stop[starts], n):
-                place = np.minimum(np.searchsorted(self.known[n], keys), len(self.known[n]) - 1)
-                for w in np.flatnonzero(self.known[n][place] == keys):
-                    for item in self.tables[n][int(keys[w])]:
-                        near[int(of_text[starts[w]]), item].append(int(starts[w]))
+            for part in np.split(starts, range(_WINDOWS, len(starts), _WINDOWS)):
+                for keys in self.keys(words, part, stop[part], n):
+                    place = np.minimum(np.searchsorted(self.known[n], keys), len(self.known[n]) - 1)
+                    for w in np.flatnonzero(self.known[n][place] == keys):
+                        for item in self.tables[n][int(keys[w])]:
+                            near[int(of_text[part[w]]), item].append(int(part[w]))
         for (text, item), starts in near.items():
             yield from self._verified(text, item, sorted(set(starts)), words, int(last[text] - size[text]), int(last[text]))
 
@@ -150,12 +154,20 @@ class BenchmarkIndex:
             at += 1
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch, cut where about ``_SLICE_BYTES`` of text are full; a longer text stands alone."""
+    filled = np.cumsum(pc.binary_length(batch["text"]).to_numpy(zero_copy_only=False)) // _SLICE_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(filled)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        yield batch.slice(a, b - a)
+
+
 def _search(index: BenchmarkIndex):
     sizes = {i: len(h) for i, h in index.items}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
-        for batch in batches:
+        for batch in (part for whole_batch in batches for part in _slices(whole_batch)):
             ids, texts = batch["doc_id"].to_pylist(), batch["text"].to_pylist()
             found = [(ids[t], i, a, b, e, 1 - e / sizes[i]) for t, i, a, b, e in index.search(texts, cache)]
             if found:
