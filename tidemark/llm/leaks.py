@@ -8,8 +8,8 @@ that meets an item in a table is a candidate, and a bit-parallel edit distance o
 the item within the text around it decides.
 
 A window within k edits of an item of n words shares at least n - 1 - 2k of its
-word pairs, so only windows that hold that many pairs of the benchmark are walked;
-this loses nothing.
+word pairs, so only windows that hold that many pairs of the items of their size are
+walked; this loses nothing.
 """
 
 from __future__ import annotations
@@ -73,6 +73,10 @@ class BenchmarkIndex:
         self.by_size: dict[int, list[int]] = defaultdict(list)
         for at, (_, h) in enumerate(self.items):
             self.by_size[len(h)].append(at)
+        self.pairs_of = {
+            n: np.isin(self.pairs, np.concatenate([mixed(h[:-1], h[1:]) for h in (self.items[m][1] for m in members)]))
+            for n, members in self.by_size.items()
+        }
         self.steps = {n: np.sort(rng.integers(0, max(1, n + n // 4), (walks, tables, samples)), axis=2) for n in self.by_size}
         self.tables: dict[int, dict[int, list[int]]] = {}
         for n, members in self.by_size.items():
@@ -119,10 +123,14 @@ class BenchmarkIndex:
         pair = mixed(words[:-1], words[1:])
         where = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
         hit = (self.pairs[where] == pair) & (of_text[1:] == of_text[:-1])
-        seen = np.r_[0, np.cumsum(hit)]
+        hits = np.flatnonzero(hit)
         near: dict[tuple[int, int], list[int]] = defaultdict(list)
         for n in self.by_size:
             need = max(1, n - 1 - 2 * self.edits(n))
+            own = hits[self.pairs_of[n][where[hits]]]
+            if len(own) < need:
+                continue
+            seen = np.r_[0, np.cumsum(np.bincount(own, minlength=len(pair)))]
             stop = np.minimum(np.arange(len(words)) + n, last[of_text])
             starts = np.flatnonzero(seen[np.maximum(stop - 1, 0)] - seen[: len(words)] >= need)
             if not len(starts):
