@@ -23,6 +23,7 @@ def not_staged(target: DataFrame, column: str, staged: DataFrame, staged_key: st
 
 
 def listed(target: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """Target rows whose ``column`` is among the ids."""
     keys = ids.select(F.col(ids.columns[0]).alias("_listed_id"))
     return target.join(keys, F.col(column) == F.col("_listed_id"), "left_semi")
 
