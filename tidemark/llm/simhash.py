@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.arrays import mixed, signed
 from tidemark.llm.common import LAST_ID, hash_pair, scratch, shuffle_partitions, stored, whole
 from tidemark.llm.components import components
+from tidemark.llm.shingles import mark, near_components
 
 BITS = 64
 LEAF = 1024
@@ -268,20 +269,22 @@ def near_duplicates(
     )
 
 
-def drop_near_duplicates(
-    docs: DataFrame, shingle_words: int = 5, max_bits: int = 6, fingerprint_count: int = 6, max_total: int | None = 60
-) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8) -> DataFrame:
     """One row of each component, with all columns: the one with the smallest id (by hash among equals).
 
-    A Jaccard similarity J of shingle sets is a cosine of about 2 J / (1 + J). At
-    J = 0.8 two fingerprints of 64 bits differ in 9.7 bits on average, six in 58, so
-    60 bits of 384 stand for a similarity of 0.8, and 6 bits of one of the six find
-    most pairs above. Rows with equal ids and texts are copies of one another.
+    Rows link if the Jaccard similarity of their sets of shingles is ``similarity`` or
+    more; candidates come from ``shingles``, whose keys miss a pair at 0.8 with a chance
+    of 0.0004 and fewer above, and no pair below links. Texts without words are alike.
+    Rows with equal ids and texts are copies of one another; null ids come last.
     """
-    near = near_duplicates(docs, shingle_words, max_bits, fingerprint_count, max_total)
+    work = scratch(docs.sparkSession, "near")
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *row_key(), whole("text").cast("binary").alias("text"))
+    marked = stored(mark(texts, shingle_words, ["doc_id", *ROW]), f"{work}/marked")
+    stars = near_components(marked, texts, ROW, shingle_words, similarity, work)
     order = F.struct(F.coalesce("doc_id", F.lit(LAST_ID)), *ROW)
-    group = F.when(F.col("component_id").isNull(), F.concat(F.lit("null "), "fingerprint")).otherwise(F.col("component_id").cast("string"))
-    best = near.groupBy(group.alias("g")).agg(F.min(order).alias("best")).select("best._row_1", "best._row_2")
+    first = marked.groupBy("vertex").agg(F.min(order).alias("best"))
+    rooted = first.join(stars.withColumnRenamed("u", "vertex"), "vertex", "left").groupBy(F.coalesce("v", "vertex").alias("root"))
+    best = rooted.agg(F.min("best").alias("best")).select("best._row_1", "best._row_2")
     keyed = docs.select("*", *row_key())
     return keyed.join(best, ROW, "left_semi").dropDuplicates(ROW).select(*[F.col(f"`{c}`") for c in docs.columns])
 
