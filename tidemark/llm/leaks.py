@@ -21,11 +21,11 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrays import WordHashes, mixed
-from tidemark.llm.common import LAST_ID, whole
+from tidemark.llm.common import hash_pair, whole
 
 MAX_EDITS = 0.25  # of the item's words
 MIN_WORDS = 6
@@ -33,7 +33,7 @@ WALKS, TABLES, SAMPLES = 12, 6, 3
 BLOCK_WORDS = 200_000
 # Sizes of what a task works on at a time; they bound its memory and change no result.
 _SLICE_BYTES, _WINDOWS = 2 << 20, 4_096
-FOUND = "doc_id bigint, item_id bigint, start bigint, stop bigint, edits bigint, similarity double"
+PLACE = ["item_id", "start", "stop", "edits", "similarity"]
 _END = np.uint64(0)
 
 
@@ -170,17 +170,20 @@ def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(a, b - a)
 
 
-def _search(index: BenchmarkIndex):
+def _search(index: BenchmarkIndex, carried: list[str]):
     sizes = {i: len(h) for i, h in index.items}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
         for batch in (part for whole_batch in batches for part in _slices(whole_batch)):
-            ids, texts = batch["doc_id"].to_pylist(), batch["text"].to_pylist()
-            found = [(ids[t], i, a, b, e, 1 - e / sizes[i]) for t, i, a, b, e in index.search(texts, cache)]
+            texts = batch["text"].to_pylist()
+            found = [(t, i, a, b, e, 1 - e / sizes[i]) for t, i, a, b, e in index.search(texts, cache)]
             if found:
-                kinds = [pa.int64()] * 5 + [pa.float64()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found), kinds)], names=["doc_id", "item_id", "start", "stop", "edits", "similarity"])
+                of_text, *columns = zip(*found)
+                rows = batch.select(carried).take(pa.array(of_text))
+                kinds = [pa.int64()] * 4 + [pa.float64()]
+                made = [pa.array(c, k) for c, k in zip(columns, kinds)]
+                yield pa.RecordBatch.from_arrays([*rows.columns, *made], names=[*carried, *PLACE])
 
     return run
 
@@ -212,16 +215,30 @@ def find_leaks(
     of items are skipped. Null texts are empty. Repeated ids give their own rows.
     Empty tables give no row; other columns are not read.
     """
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole("text").cast("binary").alias("text"))
+    settings = (max_edits, walks, tables, samples)
+    return _found(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), _text()), benchmark, ["doc_id"], settings, block_words)
+
+
+def _text() -> Column:
+    return whole("text").cast("binary").alias("text")
+
+
+def _found(texts: DataFrame, benchmark: DataFrame, carried: list[str], settings: tuple, block_words: int) -> DataFrame:
+    """The places found in ``texts``, with the bigint columns ``carried`` from their rows."""
+    schema = ", ".join(f"{c} bigint" for c in [*carried, *PLACE[:-1]]) + ", similarity double"
     found = [
-        texts.mapInArrow(_search(BenchmarkIndex(block, max_edits, walks, tables, samples)), FOUND)
+        texts.mapInArrow(_search(BenchmarkIndex(block, *settings), carried), schema)
         for block in item_blocks(benchmark, block_words)
     ]
-    return reduce(DataFrame.unionByName, found) if found else docs.sparkSession.createDataFrame([], FOUND)
+    return reduce(DataFrame.unionByName, found) if found else texts.sparkSession.createDataFrame([], schema)
 
 
-def drop_leaked(docs: DataFrame, benchmark: DataFrame, **settings: object) -> DataFrame:
-    """The rows of ``docs`` that hold no item; a null id is one document of its own kind."""
-    leaked = find_leaks(docs, benchmark, **settings).select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("_leaked")).distinct()
-    marked = docs.withColumn("_leaked", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST_ID)))
-    return marked.join(leaked, "_leaked", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+def drop_leaked(
+    docs: DataFrame, benchmark: DataFrame, max_edits: float = MAX_EDITS, walks: int = WALKS, tables: int = TABLES,
+    samples: int = SAMPLES, block_words: int = BLOCK_WORDS,
+) -> DataFrame:
+    """The rows of ``docs`` that hold no item; each is judged by its own text, whatever its id."""
+    key = ["_text_1", "_text_2"]
+    hashes = [part.alias(name) for part, name in zip(hash_pair(whole("text")), key)]
+    leaked = _found(docs.select(*hashes, _text()), benchmark, key, (max_edits, walks, tables, samples), block_words).select(key).distinct()
+    return docs.select("*", *hashes).join(leaked, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
