@@ -31,7 +31,7 @@ from tidemark.llm.common import scratch, shuffle_partitions, stored, whole
 
 # Good-Turing discounts apply to counts up to this one, as is usual for Katz models.
 GT_MAX = 5
-MIN_COUNT = 2
+MIN_COUNT = 1
 BLOCK_TOKENS = 600_000
 BUCKET_KEYS = 1_000_000
 # Tasks over blocks per shuffle partition: a task holds its blocks' answers at once.
