@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import katz, leaks, lines, mixing, ordinal, pii, quality, repeats, simhash, urls
+from tidemark.llm import alignment, katz, leaks, lines, mixing, ordinal, pii, quality, repeats, simhash, urls
 from tidemark.llm.common import table
 
 
@@ -50,11 +50,15 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.repeat_digest(table(spark, folder, "documents"))
 
 
+def op13_align_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align_digest(table(spark, folder, "documents"))
+
+
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_katz_scores, op2_simhash_dedup, op3_decontaminate, op4_personal_data, op5_quality_rules,
-        op6_mix_sources, op7_line_dedup, op8_url_filter, op9_quality_classifier, op10_substring_dedup,
+        op6_mix_sources, op7_line_dedup, op8_url_filter, op9_quality_classifier, op10_substring_dedup, op13_align_tokens,
     )
 }
 
