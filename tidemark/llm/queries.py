@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import alignment, balltree, katz, leaks, lines, mixing, ordinal, pii, quality, repeats, simhash, urls
+from tidemark.llm import alignment, balltree, katz, leaks, lines, mixing, ordinal, pagetext, pii, quality, repeats, simhash, urls
 from tidemark.llm.common import table
 
 
@@ -54,6 +54,10 @@ def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
     return balltree.ranked_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op12_extract_text(spark: SparkSession, folder: str) -> DataFrame:
+    return pagetext.extract_text(table(spark, folder, "pages"))
+
+
 def op13_align_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.align_digest(table(spark, folder, "documents"))
 
@@ -62,7 +66,7 @@ REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_katz_scores, op2_simhash_dedup, op3_decontaminate, op4_personal_data, op5_quality_rules,
-        op6_mix_sources, op7_line_dedup, op8_url_filter, op9_quality_classifier, op10_substring_dedup, op11_ranked_search, op13_align_tokens,
+        op6_mix_sources, op7_line_dedup, op8_url_filter, op9_quality_classifier, op10_substring_dedup, op11_ranked_search, op12_extract_text, op13_align_tokens,
     )
 }
 
