@@ -321,8 +321,12 @@ def test_delete_ids(loaded):
     assert len(loaded.rows(ITEM)) == 3
     with pytest.raises(DuplicateKeyError):
         delete_ids(loaded.spark, ITEM, loaded.spark.createDataFrame([(1,), (1,)], "Id int"), loaded.store, ITEM_TABLES)
-    with pytest.raises(ConfigurationError):
-        delete_ids(loaded.spark, ITEM_CATEGORY, inline_ids(loaded.spark, ITEM_CATEGORY, [1]), loaded.store, ITEM_TABLES)
+    # A category takes its items with it, and they their links.
+    deep = delete_ids(loaded.spark, ITEM_CATEGORY, inline_ids(loaded.spark, ITEM_CATEGORY, [1]), loaded.store, ITEM_TABLES)
+    assert deep.first().asDict() == {
+        "ItemBlobRowsDeleted": 1, "ItemRowsDeleted": 2, "ItemCategoryRowsDeleted": 1, "ItemCategorysRemaining": 1, "StillPresent": 0,
+    }
+    assert loaded.rows(ITEM) == [(2, 2, "b")] and loaded.rows(ITEM_BLOB) == [] and loaded.rows(ITEM_CATEGORY) == [(2, "two")]
 
 
 def test_verify(loaded):

@@ -4,19 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.errors import ConfigurationError
 from tidemark.functions import required, too_wide
 from tidemark.operators.checks import high_water_check, orphan_report, row_counts
 from tidemark.operators.dedup import require_unique
-from tidemark.operators.merge import action_counters, after_merge, classify
+from tidemark.operators.parents import flag_eligible
 from tidemark.operators.prune import listed
-from tidemark.plans.ledger import RunLedger
-from tidemark.plans.rewrite import high_water_of, materialise, remove_rows, sized, work_folder
+from tidemark.options import SyncOptions
+from tidemark.plans.ledger import RunLedger, SyncResult
+from tidemark.plans.rewrite import cascade, materialise, remove_rows, sized, work_folder
+from tidemark.plans.sync import merge_into
 from tidemark.sources.targets import TargetStore
-from tidemark.spec import TableSpec, children_of
+from tidemark.spec import TableSpec, children_of, descendants, load_order
 
 
 def seed(spark: SparkSession, spec: TableSpec, rows: DataFrame, store: TargetStore) -> DataFrame:
@@ -40,31 +42,11 @@ def seed(spark: SparkSession, spec: TableSpec, rows: DataFrame, store: TargetSto
     with work_folder(spark, store, f"seed-{spec.name}") as work:
         checked, count = materialise(rows.select(*map(strict, spec.columns)), f"{work}/rows")
         require_unique(checked, spec.key, f"The seed of {spec.name}")
-        previous = store.current(spec.name)
-        classified = classify(
-            checked,
-            store.read_by_key(spec),
-            spec.key,
-            spec.value_names,
-            collations=spec.collations,
-        )
-        observed = Observation()
-        folder, buckets = store.write(
-            spec,
-            after_merge(classified.observe(observed, *action_counters())),
-            count + (previous.rows if previous else 0),
-        )
-        seen = observed.get
-        if previous is None or seen["insert"] + seen["update"] > 0:
-            total = seen["insert"] + seen["update"] + seen["unchanged"] + seen["keep"]
-            previous = store.commit(
-                spec, previous, folder, total, buckets, previous.high_water if previous else None
-            )
-        else:
-            store.discard(spec, folder)
-    mark = high_water_of(store, spec)
-    if spec.identity and mark != previous.high_water:
-        store.commit(spec, previous, previous.folder, previous.rows, previous.buckets, mark)
+        # The rows and the mark become visible together.
+        with store.transaction():
+            options = SyncOptions(reseed_identity_columns=True)
+            flagged = flag_eligible(checked, [])
+            merge_into(spec, flagged, store, options, SyncResult(spec.name, rows_staged=count))
     return store.read(spec).orderBy(spec.key)
 
 
@@ -75,21 +57,21 @@ def delete_ids(
     store: TargetStore,
     specs: Sequence[TableSpec],
 ) -> DataFrame:
-    """Delete the listed rows and, first, the rows that reference them; one report row."""
+    """Delete the listed rows and all rows that refer to them, through any number of tables; one report row.
+
+    All of it becomes visible at once. For few ids no data is rewritten: only the deleted
+    keys are written beside it.
+    """
     children = children_of(spec.name, specs)
-    for child, _ in children:
-        if children_of(child.name, specs):
-            raise ConfigurationError(
-                f"{child.name} has children of its own; delete those of {spec.name} there first."
-            )
     with work_folder(spark, store, f"delete-{spec.name}") as work:
         ids, count = materialise(ids.select(F.col(ids.columns[0]).alias("Id")), f"{work}/ids")
         require_unique(ids, "Id", f"The id list for {spec.name}")
-        counts = {
-            f"{child.name}RowsDeleted": remove_rows(store, child, column, ids, count)
-            for child, column in children
-        }
-        counts[f"{spec.name}RowsDeleted"] = remove_rows(store, spec, spec.key, ids, count)
+        with store.transaction():
+            doomed = {(child.name, column): (ids, count) for child, column in children}
+            removed = cascade(spark, store, spec, specs, doomed, work)
+            below = [s.name for s in reversed(load_order(specs)) if s.name in descendants(spec.name, specs)]
+            counts = {f"{name}RowsDeleted": removed.get(name, 0) for name in below}
+            counts[f"{spec.name}RowsDeleted"] = remove_rows(store, spec, spec.key, ids, count)
         version = store.current(spec.name)
         counts[f"{spec.name}sRemaining"] = version.rows if version else 0
         counts["StillPresent"] = listed(store.read(spec), spec.key, sized(ids, count)).count()

@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.checks import high_water_mark
 from tidemark.session import shared_folder
 from tidemark.sources.files import delete_folder
 from tidemark.sources.targets import TargetStore
-from tidemark.spec import TableSpec
+from tidemark.spec import TableSpec, load_order
 
 # A side of a join is broadcast only if it was counted and is not larger.
 BROADCAST_ROWS = 200_000
@@ -46,32 +46,66 @@ def sized(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def high_water_of(store: TargetStore, spec: TableSpec) -> int:
-    return store.read(spec).agg(high_water_mark(spec.key).cast("bigint").alias("m")).first()["m"]
-
-
 def remove_rows(
     store: TargetStore, spec: TableSpec, column: str, doomed: DataFrame, doomed_rows: int
 ) -> int:
-    """Rewrite a table without the rows whose ``column`` is among the doomed values.
+    """Delete the rows whose ``column`` is among the doomed values; how many there were."""
+    return remove_matching(store, spec, [(column, doomed, doomed_rows)])[0]
+
 
-    Returns the number of rows removed; nothing is written if there are none.
+def remove_matching(
+    store: TargetStore, spec: TableSpec, doomed: Sequence[tuple[str, DataFrame, int]]
+) -> tuple[int, DataFrame | None]:
+    """Delete the rows that hold a doomed value in any of the given columns; how many, and their keys.
+
+    Nothing is written where there are none, and only keys where they are few.
     """
     previous = store.current(spec.name)
-    if previous is None or doomed_rows == 0:
-        return 0
-    values = doomed.select(F.col(doomed.columns[0]).alias("_doomed"))
-    match = F.col(column).eqNullSafe(F.col("_doomed"))
-    if previous.rows and store.read(spec).join(sized(values, doomed_rows), match, "left_semi").isEmpty():
-        return 0
-    few = doomed_rows <= BROADCAST_ROWS
-    survivors = store.read_by_key(spec) if few else store.read(spec)
-    survivors = survivors.join(sized(values, doomed_rows), match, "left_anti")
-    if previous.buckets and not few:
-        survivors = survivors.repartition(previous.buckets, spec.key)
-    observed = Observation()
-    survivors = survivors.observe(observed, F.count(F.lit(1)).alias("rows"))
-    folder, buckets = store.write(spec, survivors, previous.rows)
-    rows = observed.get["rows"]
-    store.commit(spec, previous, folder, rows, buckets, previous.high_water)
-    return previous.rows - rows
+    doomed = [d for d in doomed if d[2]]
+    if previous is None or not previous.rows or not doomed:
+        return 0, None
+    hits = []
+    for column, frame, rows in doomed:
+        values = frame.select(F.col(frame.columns[0]).alias("_doomed"))
+        match = F.col(column).eqNullSafe(F.col("_doomed"))
+        hits.append(store.read(spec).join(sized(values, rows), match, "left_semi"))
+    found = reduce(DataFrame.unionByName, hits)
+    # a row that two columns doom is deleted once
+    return store.delete(spec, previous, found.dropDuplicates([spec.key]) if len(hits) > 1 else found)
+
+
+def cascade(
+    spark: SparkSession,
+    store: TargetStore,
+    spec: TableSpec,
+    specs: Sequence[TableSpec],
+    doomed: Mapping[tuple[str, str], tuple[DataFrame, int]],
+    work: str,
+) -> dict[str, int]:
+    """Delete all rows that refer, through any number of tables, to doomed rows of ``spec``; how many per table.
+
+    ``doomed`` holds the doomed values of each direct child's column. The keys of the rows
+    that go are the frontier: tables come in foreign-key order, so when a table is reached
+    all that is doomed in its parents is known. A table that refers to itself is asked
+    again until nothing is added. Tables that refer to each other in a cycle are refused.
+    """
+    removed: dict[str, int] = {}
+    frontier: dict[str, tuple[DataFrame, int]] = {}
+    for child in load_order(specs):
+        if child.name == spec.name or store.current(child.name) is None:
+            continue
+        asked = [(column, *doomed[child.name, column]) for name, column in doomed if name == child.name]
+        asked += [(p.column, *frontier[p.table]) for p in child.parents if p.table in frontier]
+        found: list[DataFrame] = []
+        while asked:
+            count, keys = remove_matching(store, child, asked)
+            asked = []
+            if count:
+                # the keys as they are now, whatever becomes of the folder that lists them
+                kept, rows = materialise(keys, f"{work}/gone-{child.name}-{len(found)}")
+                found.append(kept)
+                removed[child.name] = removed.get(child.name, 0) + count
+                asked = [(p.column, kept, rows) for p in child.parents if p.table == child.name]
+        if found:
+            frontier[child.name] = (reduce(DataFrame.unionByName, found), removed[child.name])
+    return removed

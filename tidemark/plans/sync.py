@@ -10,21 +10,27 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.dedup import first_per_key
 from tidemark.operators.mapping import map_rows
-from tidemark.operators.merge import ACTION, DELETE, REJECT, action_counters, after_merge, classify
-from tidemark.operators.parents import flag_eligible, orphan_values
+from tidemark.operators.merge import action_counters, after_merge, classify
+from tidemark.operators.parents import ELIGIBLE, flag_eligible, orphan_values
 from tidemark.operators.prune import not_staged
 from tidemark.options import SyncOptions
 from tidemark.plans.ledger import SyncResult
-from tidemark.plans.rewrite import high_water_of, materialise, remove_rows, sized, work_folder
+from tidemark.plans.rewrite import cascade, materialise, sized, work_folder
 from tidemark.sources.files import Run
 from tidemark.sources.jdbc import JdbcSource, write_jdbc
 from tidemark.sources.staged import StagedScan, scan_folder
-from tidemark.sources.targets import TargetStore
+from tidemark.sources.targets import SLICE, TargetStore, Version, digest_columns, slice_of
 from tidemark.spec import TableSpec, children_of
 
 log = logging.getLogger(__name__)
 
 
+def unique_source(flagged: DataFrame, spec: TableSpec) -> DataFrame:
+    """The first staged row per key, in order of all its values."""
+    order = [F.col(name).asc_nulls_last() for name in spec.value_names]
+    return first_per_key(flagged, spec.key, order)
+
+
 def eligible_source(
     staged: DataFrame, spec: TableSpec, orphans: Sequence[tuple[str, DataFrame]]
 ) -> DataFrame:
@@ -33,83 +39,169 @@ def eligible_source(
     The surviving duplicate is chosen before its parents count: a key whose
     survivor is an orphan is lost even if another duplicate has parents.
     """
-    flagged = flag_eligible(staged, orphans)
-    order = [F.col(name).asc_nulls_last() for name in spec.value_names]
-    return first_per_key(flagged, spec.key, order)
+    return unique_source(flag_eligible(staged, orphans), spec)
 
 
-def _merge(
+def merge_into(
     spec: TableSpec,
-    source: DataFrame,
+    flagged: DataFrame,
     store: TargetStore,
     options: SyncOptions,
     result: SyncResult,
-    prune: bool,
-    tags: Mapping[str, object] | None,
+    prune: bool = False,
+    tags: Mapping[str, object] | None = None,
 ) -> None:
-    """Merge, prune and set the high-water mark in one job over one join."""
-    previous = store.current(spec.name)
-    classified = classify(
-        source,
-        store.read_by_key(spec),
-        spec.key,
-        spec.value_names,
-        prune=prune,
-        collations=spec.collations,
-    )
-    survives = ~F.col(ACTION).isin(REJECT, DELETE)
-    counts = [
-        *action_counters(),
-        F.count_if(survives).alias("rows"),
-        F.coalesce(F.max(F.when(survives, F.col(spec.key))), F.lit(0)).cast("bigint").alias("highest"),
-    ]
-
-    def unchanged(seen: Mapping[str, int]) -> bool:
-        return previous is not None and seen["insert"] + seen["update"] + seen["delete"] == 0
-
-    folder = None
-    seen: Mapping[str, int] | None = None
-    if options.probe_changes and previous is not None:
-        probed = classified.agg(*counts).first().asDict()
-        seen = probed if unchanged(probed) else None
-    if seen is None:
-        observed = Observation()
-        expected = result.rows_staged + (previous.rows if previous else 0)
-        folder, buckets = store.write(
-            spec, after_merge(classified.observe(observed, *counts)), expected
-        )
-        seen = observed.get
+    """Merge, prune and set the high-water mark of one table.
 
+    ``flagged`` are the staged rows with their eligibility; the counts go to ``result``,
+    which holds how many rows are staged.
+    """
+    previous = store.current(spec.name)
+    expected = result.rows_staged + (previous.rows if previous else 0)
+    count = store.slices_for(previous, expected)
+    if previous is not None and previous.slice_count == count:
+        seen = _merge_slices(spec, flagged, store, options, previous, expected, prune, tags)
+    else:
+        seen = _merge_whole(spec, flagged, store, options, previous, expected, count, prune, tags)
     result.rows_inserted = seen["insert"]
     result.rows_updated = seen["update"]
     result.rows_unchanged = seen["unchanged"]
     result.rows_rejected = result.rows_staged - seen["insert"] - seen["update"] - seen["unchanged"]
     result.rows_deleted = seen["delete"]
 
-    high_water = previous.high_water if previous else None
-    if spec.identity and options.reseed_identity_columns:
-        high_water = seen["highest"]
-    if not unchanged(seen):
-        store.commit(spec, previous, folder, seen["rows"], buckets, high_water, tags)
-        return
-    if folder is not None:
-        store.discard(spec, folder)
-    if high_water != previous.high_water:
-        store.commit(
-            spec, previous, previous.folder, previous.rows, previous.buckets, high_water, tags
-        )
 
+def _classified(spec: TableSpec, flagged: DataFrame, target: DataFrame, prune: bool) -> DataFrame:
+    source = unique_source(flagged, spec)
+    return classify(source, target, spec.key, spec.value_names, prune=prune, collations=spec.collations)
 
-def _reseed(spec: TableSpec, store: TargetStore, options: SyncOptions) -> None:
-    """Set the mark of a table whose pass had nothing to merge."""
-    previous = store.current(spec.name)
+
+def _set_mark(
+    spec: TableSpec, store: TargetStore, options: SyncOptions, previous: Version | None
+) -> None:
+    """Set the mark of a table whose rows stay as they are."""
     if previous is None or not spec.identity or not options.reseed_identity_columns:
         return
-    mark = high_water_of(store, spec)
+    mark = store.highest_key(spec, previous)
     if mark != previous.high_water:
         store.commit(spec, previous, previous.folder, previous.rows, previous.buckets, mark)
 
 
+def _merge_whole(
+    spec: TableSpec,
+    flagged: DataFrame,
+    store: TargetStore,
+    options: SyncOptions,
+    previous: Version | None,
+    expected: int,
+    count: int,
+    prune: bool,
+    tags: Mapping[str, object] | None,
+) -> Mapping[str, int]:
+    """Write a table as a whole: its first load, and when it is dealt into another number of slices."""
+    classified = _classified(spec, flagged, store.read_by_key(spec), prune)
+    if previous is not None and options.probe_changes:
+        probed = classified.agg(*action_counters()).first().asDict()
+        if not probed["insert"] + probed["update"] + probed["delete"]:
+            _set_mark(spec, store, options, previous)
+            return probed
+    observed = Observation()
+    folder, buckets = store.write(
+        spec, after_merge(classified.observe(observed, *action_counters())), expected, count
+    )
+    seen = observed.get
+    if previous is not None and not seen["insert"] + seen["update"] + seen["delete"]:
+        store.discard(spec, folder)
+        _set_mark(spec, store, options, previous)
+        return seen
+    slices = store.digest(spec, folder, count)
+    high_water = previous.high_water if previous else None
+    if spec.identity and options.reseed_identity_columns:
+        high_water = max((s.top for s in slices.values()), default=0)
+    store.commit_slices(spec, previous, slices, count, folder, buckets, high_water, tags)
+    return seen
+
+
+def _merge_slices(
+    spec: TableSpec,
+    flagged: DataFrame,
+    store: TargetStore,
+    options: SyncOptions,
+    previous: Version,
+    expected: int,
+    prune: bool,
+    tags: Mapping[str, object] | None,
+) -> Mapping[str, int]:
+    """Read and write only slices that change.
+
+    A slice whose staged rows have the digest of its target rows holds the same rows: its
+    keys are unique in the target, so no staged key comes twice, and every row is
+    unchanged. The others are joined, first to see what happens in each; then those with
+    an insert or update are written, and of those with deletes only, the deleted keys.
+    """
+    count = previous.slice_count
+    number = slice_of(spec.key, count)
+    staged = {
+        r[SLICE]: r
+        for r in flagged.groupBy(number.alias(SLICE))
+        .agg(*digest_columns(spec.column_names), F.count_if(~F.col(ELIGIBLE)).alias("ineligible"))
+        .collect()
+    }
+    same = {
+        k
+        for k, r in staged.items()
+        if k in previous.slices
+        and not r["ineligible"]
+        and (r["rows"], (r["xor"], r["high"], r["low"])) == (previous.slices[k].rows, previous.slices[k].digest)
+    }
+    seen = dict.fromkeys(("insert", "update", "unchanged", "keep", "reject", "delete"), 0)
+    seen["unchanged"] = sum(previous.slices[k].rows for k in same)
+    apart = sorted(set(staged) - same | (set(previous.slices) - same if prune else set()))
+    if not apart:
+        _set_mark(spec, store, options, previous)
+        return seen
+
+    def within(df: DataFrame, numbers: Sequence[int]) -> DataFrame:
+        return df if len(numbers) == count else df.where(number.isin(numbers))
+
+    def classified(numbers: Sequence[int]) -> DataFrame:
+        target = store.read_by_key(spec) if previous.buckets else store.read_version(spec, previous, numbers)
+        return _classified(spec, within(flagged, numbers), target, prune)
+
+    happened = {
+        r[SLICE]: r
+        for r in classified(apart).groupBy(number.alias(SLICE)).agg(*action_counters()).collect()
+    }
+    for name in seen:
+        seen[name] += sum(r[name] for r in happened.values())
+    touched = sorted(k for k, r in happened.items() if r["insert"] + r["update"])
+    emptied = sorted(k for k, r in happened.items() if r["delete"] and k not in set(touched))
+    if not touched and not emptied:
+        _set_mark(spec, store, options, previous)
+        return seen
+
+    with store.transaction():
+        if touched:
+            folder, buckets = store.write(spec, after_merge(classified(touched)), expected, count)
+            slices = {k: s for k, s in previous.slices.items() if k not in set(touched)}
+            slices |= store.digest(spec, folder, count)
+            version = store.commit_slices(
+                spec, previous, slices, count, folder, buckets, previous.high_water, tags
+            )
+        else:
+            version = previous
+        if emptied:
+            gone = store.read_version(spec, previous, emptied)
+            keys = unique_source(within(flagged, emptied), spec).select(spec.key)
+            store.delete(spec, version, gone.join(keys, spec.key, "left_anti"))
+            version = store.current(spec.name)
+        mark = version.high_water
+        if spec.identity and options.reseed_identity_columns:
+            mark = store.highest_key(spec, version)
+        if mark != version.high_water or (tags and not touched):
+            store.commit(spec, version, version.folder, version.rows, version.buckets, mark, tags)
+    return seen
+
+
 def _take_counters(result: SyncResult, seen: Mapping[str, int]) -> None:
     result.rows_read = seen["rows_read"]
     result.rows_filtered = seen["rows_filtered"]
@@ -148,7 +240,7 @@ def load_scan(
                     f"{spec.name} was not pruned. Nothing was staged for it, so each of its target rows "
                     "would count as gone; stage the table again if it is not empty at its source."
                 )
-            _reseed(spec, store, options)
+            _set_mark(spec, store, options, store.current(spec.name))
             return result
 
         orphans = []
@@ -163,20 +255,18 @@ def load_scan(
             if rows:
                 orphans.append((parent.column, sized(values, rows)))
 
-        if wants_prune:
-            # Children go first: a stop in between leaves children missing, never dangling.
-            for child, column in children_of(spec.name, specs):
-                if store.current(child.name) is None:
-                    continue
-                references = store.read(child).select(column).distinct()
-                doomed, rows = materialise(
-                    not_staged(references, column, staged, spec.key), f"{work}/doomed-{child.name}"
-                )
-                result.child_rows_deleted += remove_rows(store, child, column, doomed, rows)
-
-        _merge(
-            spec, eligible_source(staged, spec, orphans), store, options, result, wants_prune, tags
-        )
+        # What refers to pruned rows goes with them, and all of it becomes visible at once.
+        with store.transaction():
+            if wants_prune:
+                doomed = {}
+                for child, column in children_of(spec.name, specs):
+                    if store.current(child.name) is not None:
+                        references = store.read(child).select(column).distinct()
+                        missing = not_staged(references, column, staged, spec.key)
+                        doomed[child.name, column] = materialise(missing, f"{work}/doomed-{child.name}-{column}")
+                removed = cascade(spark, store, spec, specs, doomed, work)
+                result.child_rows_deleted += sum(removed.values())
+            merge_into(spec, flag_eligible(staged, orphans), store, options, result, wants_prune, tags)
     if options.keep_versions is not None:
         store.drop_old_versions(spec, options.keep_versions)
     if result.rows_deleted:

@@ -101,6 +101,11 @@ def delete_folder(spark: SparkSession, folder: str) -> None:
     fs.delete(path, True)
 
 
+def delete_file(spark: SparkSession, file: str) -> None:
+    fs, path = _file_system(spark, file)
+    fs.delete(path, False)
+
+
 @dataclass(frozen=True)
 class Run:
     run_id: str

@@ -1,8 +1,16 @@
-"""Target tables as versioned Parquet snapshots.
+"""Target tables as versioned Parquet snapshots, committed together.
 
-Every change writes a complete new folder and then a small commit file that
-names it. Readers follow the newest commit, so a job that dies half-way leaves
-the table as it was, and a folder is never read and overwritten at once.
+The rows of a table are dealt by a hash of the key into slices. A version names, for
+every slice, the folder that holds it, a digest of its rows and the folders of keys
+deleted from it since. A change writes new folders for the slices it touches, or only
+the deleted keys, and carries the others over. Digests do not depend on the order of
+rows, so a slice whose staged rows have the digest of its target rows is known to be
+unchanged without reading it.
+
+Versions of tables become current through one small file per commit at the root,
+which names the version of every table. Tables changed in a ``transaction`` are
+therefore seen changed together or not at all, and a job that dies half-way leaves
+the tables as they were. Folders are never read and overwritten at once.
 """
 
 from __future__ import annotations
@@ -10,25 +18,51 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Mapping
-from dataclasses import asdict, dataclass, field
+from collections.abc import Iterable, Iterator, Mapping
+from contextlib import contextmanager
+from dataclasses import asdict, dataclass, field, replace
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.errors import CommitConflictError
-from tidemark.sources.files import create_text, delete_folder, list_names, read_text
+from tidemark.sources.files import create_text, delete_file, delete_folder, list_names, read_text
 from tidemark.spec import TableSpec
 
-
 # Names of commit files; whatever else lies beside them is no commit.
 _COMMIT = re.compile(r"\d{20}\.json$")
 
+SLICE = "slice"
+# Slices of a table at most, so that a version stays a small file.
+MAX_SLICES = 4096
+# A slice is rewritten once more than this share of its rows, or this many times, was deleted by keys.
+FOLD_SHARE, FOLD_LISTS = 0.1, 8
+# Keys are broadcast only if they were counted and are not more.
+BROADCAST_KEYS = 200_000
+# Attempts to commit while other writers commit other tables, and root commits that are kept.
+_ATTEMPTS, _ROOT_COMMITS = 50, 100
+
+
+@dataclass(frozen=True)
+class Slice:
+    """What a version says about one slice.
+
+    ``stored`` rows lie in the folder, ``rows`` of them are not deleted. ``digest`` is of
+    the rows that are left, and ``top`` their highest key, if it is known.
+    """
+
+    folder: str
+    rows: int
+    stored: int
+    digest: tuple[int, int, int]
+    top: int | None = None
+    deletes: tuple[str, ...] = ()
+
 
 @dataclass(frozen=True)
 class Version:
-    """What a commit file says about one version of a table."""
+    """What a version file says about a table. Without slices its rows are all that lies in ``folder``."""
 
     number: int
     folder: str
@@ -37,43 +71,222 @@ class Version:
     high_water: int | None = None
     tags: Mapping[str, object] = field(default_factory=dict)
     committed_utc: str = ""
+    slice_count: int = 0
+    slices: Mapping[int, Slice] = field(default_factory=dict)
+    file: str = ""
+    parent: str | None = None
+
+    @staticmethod
+    def parsed(text: str, file: str) -> Version:
+        found = json.loads(text)
+        slices = {
+            int(k): Slice(**{**s, "digest": tuple(s["digest"]), "deletes": tuple(s["deletes"])})
+            for k, s in found.get("slices", {}).items()
+        }
+        return Version(**{**found, "slices": slices, "file": file})
+
+    @property
+    def folders(self) -> frozenset[str]:
+        """Every folder that a reader of this version needs."""
+        if not self.slice_count:
+            return frozenset([self.folder])
+        return frozenset(f for s in self.slices.values() for f in (s.folder, *s.deletes))
+
+
+def slice_of(key: str, count: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(count)).cast("int")
+
+
+def digest_columns(names: Iterable[str]) -> list[Column]:
+    """Aggregates that are equal for equal bags of rows: ``rows, xor, high, low``."""
+    # a hash passes over NULLs, so each value is followed by whether it is one
+    values = [c for n in names for c in (F.col(n), F.isnull(n))]
+    one, two = F.xxhash64(F.lit(1), *values), F.xxhash64(F.lit(2), *values)
+    none = F.lit(0).cast("bigint")
+    return [
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.bit_xor(one), none).alias("xor"),
+        # halves of the hash, whose sums cannot overflow
+        F.coalesce(F.sum(F.shiftright(two, 32)), none).alias("high"),
+        F.coalesce(F.sum(two.bitwiseAND(F.lit(0xFFFFFFFF))), none).alias("low"),
+    ]
 
 
 class TargetStore:
     """The target tables below one root folder.
 
-    Tables of ``bucket_rows`` rows or more are written bucketed by key into as
-    many buckets as the session has shuffle partitions, so that a later merge
-    reads them without a shuffle. Spark buckets through the session catalog;
-    ``bucket_rows=None`` does without.
+    A new table gets one slice for every ``slice_rows`` expected rows, and more when it
+    has outgrown them four times. Tables of ``bucket_rows`` rows or more, if that is
+    set, are instead written whole and bucketed by key into as many buckets as the
+    session has shuffle partitions, so that a merge reads them without a shuffle;
+    Spark buckets through the session catalog.
     """
 
-    def __init__(self, spark: SparkSession, root: str, bucket_rows: int | None = 5_000_000):
+    def __init__(self, spark: SparkSession, root: str, bucket_rows: int | None = None, slice_rows: int = 250_000):
         self.spark = spark
         self.root = root.rstrip("/")
         self.bucket_rows = bucket_rows
+        self.slice_rows = slice_rows
+        self._pending: dict[str, tuple[Version | None, Version]] | None = None
+
+    # Versions and commits.
 
     def _commits(self, name: str) -> str:
         return f"{self.root}/{name}/_commits"
 
+    def _root(self) -> tuple[int, dict[str, str]]:
+        """Number of the newest root commit, and the version file of each table in it."""
+        names = [n for n in list_names(self.spark, f"{self.root}/_commits", directories=False) if _COMMIT.match(n)]
+        if not names:
+            return 0, {}
+        newest = max(names)
+        return int(newest[:20]), json.loads(read_text(self.spark, f"{self.root}/_commits/{newest}"))["tables"]
+
+    def _file_of(self, name: str, tables: Mapping[str, str]) -> str | None:
+        if name in tables:
+            return tables[name]
+        # a table that was last written before tables were committed together
+        return max((n for n in list_names(self.spark, self._commits(name), directories=False) if _COMMIT.match(n)), default=None)
+
+    def _version(self, name: str, file: str) -> Version:
+        return Version.parsed(read_text(self.spark, f"{self._commits(name)}/{file}"), file)
+
     def current(self, name: str) -> Version | None:
-        numbers = sorted(
-            n for n in list_names(self.spark, self._commits(name), directories=False)
-            if _COMMIT.match(n)
+        """The newest version; within a transaction, the one it will commit."""
+        if self._pending and name in self._pending:
+            return self._pending[name][1]
+        file = self._file_of(name, self._root()[1])
+        return self._version(name, file) if file else None
+
+    @contextmanager
+    def transaction(self) -> Iterator[TargetStore]:
+        """Commits made inside become visible together at the end, or not at all."""
+        if self._pending is not None:
+            yield self
+            return
+        self._pending = {}
+        try:
+            yield self
+            if self._pending:
+                self._publish(self._pending)
+        finally:
+            self._pending = None
+
+    def _publish(self, changes: Mapping[str, tuple[Version | None, Version]]) -> None:
+        for name, (_, version) in changes.items():
+            text = json.dumps({k: v for k, v in asdict(version).items() if k != "file"})
+            create_text(self.spark, f"{self._commits(name)}/{version.file}", text)
+        for _ in range(_ATTEMPTS):
+            number, tables = self._root()
+            for name, (base, version) in changes.items():
+                if self._file_of(name, tables) != (base.file if base else None):
+                    raise CommitConflictError(
+                        f"Version {version.number} of {name} was committed by another writer."
+                    )
+            merged = {**tables, **{name: version.file for name, (_, version) in changes.items()}}
+            if create_text(self.spark, f"{self.root}/_commits/{number + 1:020d}.json", json.dumps({"tables": merged})):
+                return
+        raise CommitConflictError("Other writers committed without a pause; the tables were not changed.")
+
+    def _commit_version(self, name: str, previous: Version | None, version: Version) -> Version:
+        number = (previous.number if previous else 0) + 1
+        version = replace(
+            version,
+            number=number,
+            committed_utc=datetime.now(timezone.utc).isoformat(timespec="milliseconds"),
+            file=f"{number:020d}-{uuid.uuid4().hex}.json",
+            parent=previous.file if previous else None,
+        )
+        if self._pending is None:
+            self._publish({name: (previous, version)})
+        else:
+            base = self._pending[name][0] if name in self._pending else previous
+            if name in self._pending:
+                version = replace(version, number=(base.number if base else 0) + 1, parent=base.file if base else None)
+            self._pending[name] = (base, version)
+        return version
+
+    def commit(
+        self,
+        spec: TableSpec,
+        previous: Version | None,
+        folder: str,
+        rows: int,
+        buckets: int,
+        high_water: int | None = None,
+        tags: Mapping[str, object] | None = None,
+    ) -> Version:
+        """Make a whole folder the current version, unless another writer was first.
+
+        The folder of the previous version stands for its slices, so that a mark or a tag
+        can be set alone.
+        """
+        same = previous is not None and folder == previous.folder
+        version = Version(
+            number=0,
+            folder=folder,
+            rows=rows,
+            buckets=buckets,
+            high_water=high_water,
+            tags={**(previous.tags if previous else {}), **(tags or {})},
+            slice_count=previous.slice_count if same else 0,
+            slices=previous.slices if same else {},
+        )
+        return self._commit_version(spec.name, previous, version)
+
+    def commit_slices(
+        self,
+        spec: TableSpec,
+        previous: Version | None,
+        slices: Mapping[int, Slice],
+        slice_count: int,
+        folder: str,
+        buckets: int = 0,
+        high_water: int | None = None,
+        tags: Mapping[str, object] | None = None,
+    ) -> Version:
+        version = Version(
+            number=0,
+            folder=folder,
+            rows=sum(s.rows for s in slices.values()),
+            buckets=buckets,
+            high_water=high_water,
+            tags={**(previous.tags if previous else {}), **(tags or {})},
+            slice_count=slice_count,
+            slices={k: s for k, s in sorted(slices.items()) if s.rows},
         )
-        if not numbers:
-            return None
-        return Version(**json.loads(read_text(self.spark, f"{self._commits(name)}/{numbers[-1]}")))
+        return self._commit_version(spec.name, previous, version)
+
+    # Reading.
 
-    def _folder(self, name: str, version: Version) -> str:
-        return f"{self.root}/{name}/{version.folder}"
+    def _path(self, spec: TableSpec, folder: str, number: int, version: Version) -> str:
+        whole = f"{self.root}/{spec.name}/{folder}"
+        return whole if version.slice_count == 1 else f"{whole}/{SLICE}={number}"
 
     def read(self, spec: TableSpec) -> DataFrame:
         """The current rows; a table that was never loaded is empty."""
         version = self.current(spec.name)
-        if version is None:
+        return self.read_version(spec, version)
+
+    def read_version(self, spec: TableSpec, version: Version | None, only: Iterable[int] | None = None) -> DataFrame:
+        """The rows of a version, or those of some of its slices; no other file is opened."""
+        if version is not None and not version.slice_count:
+            return self.spark.read.schema(spec.schema).parquet(f"{self.root}/{spec.name}/{version.folder}")
+        wanted = {} if version is None else version.slices if only is None else {k: version.slices[k] for k in only if k in version.slices}
+        if not wanted:
             return self.spark.createDataFrame([], spec.schema)
-        return self.spark.read.schema(spec.schema).parquet(self._folder(spec.name, version))
+        rows = self.spark.read.schema(spec.schema).parquet(*[self._path(spec, s.folder, k, version) for k, s in wanted.items()])
+        return self._without_deleted(spec, version, wanted, rows)
+
+    def _without_deleted(self, spec: TableSpec, version: Version, wanted: Mapping[int, Slice], rows: DataFrame) -> DataFrame:
+        paths = [self._path(spec, f, k, version) for k, s in wanted.items() for f in s.deletes]
+        if not paths:
+            return rows
+        kind = spec.schema[spec.key].dataType.simpleString()
+        keys = self.spark.read.schema(f"`{spec.key}` {kind}").parquet(*paths)
+        if sum(s.stored - s.rows for s in wanted.values()) <= BROADCAST_KEYS:
+            keys = F.broadcast(keys)
+        return rows.join(keys, spec.key, "left_anti")
 
     def read_by_key(self, spec: TableSpec) -> DataFrame:
         """The current rows in a form that joins on the key without a shuffle, if bucketed.
@@ -86,25 +299,43 @@ class TargetStore:
             return self.read(spec)
         table = f"tidemark_{uuid.uuid4().hex}"
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.schema)
-        folder = self._folder(spec.name, version).replace("'", "\\'")
+        folder = f"{self.root}/{spec.name}/{version.folder}".replace("'", "\\'")
         self.spark.sql(
             f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY (`{spec.key}`) "
             f"SORTED BY (`{spec.key}`) INTO {version.buckets} BUCKETS LOCATION '{folder}'"
         )
         try:
-            return self.spark.table(table)
+            return self._without_deleted(spec, version, version.slices, self.spark.table(table))
         finally:
             # The catalog entry is needed to resolve the table, not to read it.
             self.spark.sql(f"DROP TABLE {table}")
 
+    # Writing.
+
+    def slices_for(self, previous: Version | None, expected_rows: int) -> int:
+        """How many slices a table should have; it keeps those it has until it has outgrown them."""
+        if self._bucketed(expected_rows):
+            return 1
+        wanted = min(MAX_SLICES, 1 << max(0, -(-expected_rows // self.slice_rows) - 1).bit_length())
+        held = previous.slice_count if previous and not previous.buckets else 0
+        return held if held and wanted <= 4 * held else wanted
+
+    def _bucketed(self, expected_rows: int) -> bool:
+        return self.bucket_rows is not None and expected_rows >= self.bucket_rows
+
     def new_folder(self) -> str:
         return f"version-{uuid.uuid4().hex}"
 
-    def write(self, spec: TableSpec, df: DataFrame, expected_rows: int) -> tuple[str, int]:
+    def write(self, spec: TableSpec, df: DataFrame, expected_rows: int, slice_count: int = 1) -> tuple[str, int]:
         """Write a new, uncommitted folder; its name and its number of buckets."""
         folder = self.new_folder()
         path = f"{self.root}/{spec.name}/{folder}"
-        if self.bucket_rows is None or expected_rows < self.bucket_rows:
+        if slice_count > 1:
+            # one more shuffle, of the rows to be written, gives each slice a few files of good size
+            dealt = df.withColumn(SLICE, slice_of(spec.key, slice_count)).hint("rebalance", SLICE)
+            dealt.write.partitionBy(SLICE).parquet(path)
+            return folder, 0
+        if not self._bucketed(expected_rows):
             df.write.parquet(path)
             return folder, 0
         buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
@@ -119,54 +350,108 @@ class TargetStore:
         self.spark.sql(f"DROP TABLE {table}")
         return folder, buckets
 
-    def commit(
-        self,
-        spec: TableSpec,
-        previous: Version | None,
-        folder: str,
-        rows: int,
-        buckets: int,
-        high_water: int | None = None,
-        tags: Mapping[str, object] | None = None,
-    ) -> Version:
-        """Make a folder the current version, unless another writer was first."""
-        version = Version(
-            number=(previous.number if previous else 0) + 1,
-            folder=folder,
-            rows=rows,
-            buckets=buckets,
-            high_water=high_water,
-            tags={**(previous.tags if previous else {}), **(tags or {})},
-            committed_utc=datetime.now(timezone.utc).isoformat(timespec="milliseconds"),
-        )
-        file = f"{self._commits(spec.name)}/{version.number:020d}.json"
-        if not create_text(self.spark, file, json.dumps(asdict(version))):
-            raise CommitConflictError(
-                f"Version {version.number} of {spec.name} was committed by another writer."
-            )
-        return version
+    def digest(self, spec: TableSpec, folder: str, slice_count: int) -> dict[int, Slice]:
+        """The slices of a written folder, by one scan of it."""
+        rows = self.spark.read.schema(spec.schema).parquet(f"{self.root}/{spec.name}/{folder}")
+        return self.digest_rows(spec, rows, slice_count, folder)
+
+    def digest_rows(self, spec: TableSpec, rows: DataFrame, slice_count: int, folder: str) -> dict[int, Slice]:
+        """The slices that ``rows`` would be; at most ``MAX_SLICES`` rows come to the driver."""
+        top = F.max(F.col(spec.key)).cast("bigint").alias("top")
+        found = rows.groupBy(slice_of(spec.key, slice_count).alias(SLICE)).agg(*digest_columns(spec.column_names), top)
+        return {
+            r[SLICE]: Slice(folder, r["rows"], r["rows"], (r["xor"], r["high"], r["low"]), r["top"])
+            for r in found.collect()
+        }
+
+    def delete(self, spec: TableSpec, previous: Version, hits: DataFrame) -> tuple[int, DataFrame]:
+        """Delete rows of a version, given as ``hits``; how many, and their keys.
+
+        Only the keys are written. Slices that have lost much by such lists are rewritten
+        without them. A version without slices gets them by being rewritten.
+        """
+        kind = spec.schema[spec.key].dataType.simpleString()
+        count = previous.slice_count or self.slices_for(None, previous.rows)
+        folder = f"deletes-{uuid.uuid4().hex}"
+        path = f"{self.root}/{spec.name}/{folder}"
+        listed = hits.withColumn(SLICE, slice_of(spec.key, count))
+        if count == 1:
+            listed.drop(SLICE).write.parquet(path)
+        else:
+            listed.hint("rebalance", SLICE).write.partitionBy(SLICE).parquet(path)
+        gone = self.digest(spec, folder, count)
+        lost = sum(s.rows for s in gone.values())
+        keys = self.spark.read.schema(f"`{spec.key}` {kind}").parquet(path)
+        if not lost:
+            self.discard(spec, folder)
+            return 0, self.spark.createDataFrame([], keys.schema)
+        slices = dict(previous.slices)
+        folded = set() if previous.slice_count else set(range(count))
+        for k, g in gone.items() if previous.slice_count else ():
+            old = slices[k]
+            digest = (old.digest[0] ^ g.digest[0], old.digest[1] - g.digest[1], old.digest[2] - g.digest[2])
+            top = old.top if old.top is not None and g.top is not None and g.top < old.top else None
+            slices[k] = Slice(old.folder, old.rows - g.rows, old.stored, digest, top, (*old.deletes, folder))
+            if old.stored - slices[k].rows > FOLD_SHARE * old.stored or len(slices[k].deletes) > FOLD_LISTS:
+                folded.add(k)
+        name, buckets = previous.folder, previous.buckets
+        if folded:
+            only = folded if previous.slice_count else None
+            left = self.read_version(spec, previous, only).join(keys, spec.key, "left_anti")
+            name, buckets = self.write(spec, left, previous.rows, count)
+            slices = {k: s for k, s in slices.items() if k not in folded} | self.digest(spec, name, count)
+        self.commit_slices(spec, previous, slices, count, name, buckets, previous.high_water)
+        return lost, keys
+
+    def highest_key(self, spec: TableSpec, version: Version | None) -> int:
+        """The highest key, or 0. Only slices whose highest key was deleted are read."""
+        if version is None:
+            return 0
+        unknown = [k for k, s in version.slices.items() if s.top is None]
+        known = max((s.top for s in version.slices.values() if s.top is not None), default=0)
+        if version.slice_count and not unknown:
+            return known
+        rows = self.read_version(spec, version, unknown if version.slice_count else None)
+        read = rows.agg(F.coalesce(F.max(F.col(spec.key)), F.lit(0)).cast("bigint").alias("top")).first()["top"]
+        return max(read, known)
+
+    # Clean-up.
 
     def discard(self, spec: TableSpec, folder: str) -> None:
         """Remove a folder that was written but will not be committed."""
         delete_folder(self.spark, f"{self.root}/{spec.name}/{folder}")
 
+    def _history(self, name: str) -> list[Version]:
+        """Committed versions, newest first, as far back as their files are kept."""
+        present = set(list_names(self.spark, self._commits(name), directories=False))
+        file, found = self._file_of(name, self._root()[1]), []
+        while file in present:
+            found.append(self._version(name, file))
+            file = found[-1].parent
+            if file is None and _COMMIT.match(found[-1].file):
+                file = max((n for n in present if _COMMIT.match(n) and n < found[-1].file), default=None)
+        return found
+
     def drop_old_versions(self, spec: TableSpec, keep_last: int = 2) -> list[str]:
-        """Delete the data folders of older commits that none of the last commits names.
+        """Delete the folders of older commits that none of the last commits names.
 
         A folder that no commit names may be another writer's work and stays.
         """
-        commits = sorted(list_names(self.spark, self._commits(spec.name), directories=False))
-        named = [
-            json.loads(read_text(self.spark, f"{self._commits(spec.name)}/{c}"))["folder"]
-            for c in commits
-            if _COMMIT.match(c)
-        ]
-        # Commits that only move a mark name the same folder again and do not count.
-        kept = set(list(dict.fromkeys(reversed(named)))[: max(keep_last, 1)])
+        history = self._history(spec.name)
+        # Commits that only move a mark name the same folders again and do not count.
+        distinct = list(dict.fromkeys(v.folders for v in history))
+        kept = frozenset().union(*distinct[: max(keep_last, 1)])
+        named = frozenset().union(*distinct)
         folders = list_names(self.spark, f"{self.root}/{spec.name}", directories=True)
-        old = [f for f in folders if f in set(named) - kept]
+        old = [f for f in folders if f in named - kept]
         for folder in old:
             self.discard(spec, folder)
+        for version in history:
+            if not version.folders & kept and version.folders:
+                delete_file(self.spark, f"{self._commits(spec.name)}/{version.file}")
+        roots = sorted(n for n in list_names(self.spark, f"{self.root}/_commits", directories=False) if _COMMIT.match(n))
+        for name in roots[:-_ROOT_COMMITS]:
+            delete_file(self.spark, f"{self.root}/_commits/{name}")
         return old
 
     def high_waters(self, specs: list[TableSpec]) -> DataFrame:

@@ -147,3 +147,15 @@ def load_order(specs: Iterable[TableSpec]) -> list[TableSpec]:
 def children_of(name: str, specs: Sequence[TableSpec]) -> list[tuple[TableSpec, str]]:
     """The tables that reference ``name``, each with its foreign-key column."""
     return [(s, p.column) for s in specs for p in s.parents if p.table == name and s.name != name]
+
+
+def descendants(name: str, specs: Sequence[TableSpec]) -> set[str]:
+    """The tables that reference ``name``, directly or through others."""
+    found: set[str] = set()
+    waiting = [name]
+    while waiting:
+        for child, _ in children_of(waiting.pop(), specs):
+            if child.name not in found and child.name != name:
+                found.add(child.name)
+                waiting.append(child.name)
+    return found
