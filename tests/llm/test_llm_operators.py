@@ -104,7 +104,7 @@ def test_katz_sums_to_one_and_beats_the_base(spark):
     def p2(h, w):
         if not heads[h]:
             return p1(w)
-        kept = {x: cut(c, d2) for (g, x), c in pairs.items() if g == h and c >= 2}
+        kept = {x: cut(c, d2) for (g, x), c in pairs.items() if g == h}
         size = heads[h] if sum(kept.values()) < heads[h] - 1e-9 else heads[h] + 1
         if w in kept:
             return kept[w] / size

@@ -345,6 +345,8 @@ def katz_scores(
     spread = SPREAD * shuffle_partitions(spark)
     packed.write.format("parquet").bucketBy(spread, "blk").option("path", f"{work}/blocks").option("compression", "zstd").saveAsTable(table)
     blocks = spark.table(table)
+    # The catalog entry is needed to resolve the table, not to read it.
+    spark.sql(f"DROP TABLE {table}")
     n_tokens, n_types = blocks.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum("n_types"), F.lit(0))).first()
     buckets = tuple(max(1, -(-n // BUCKET_KEYS)) for n in (n_types, n_tokens))
 
