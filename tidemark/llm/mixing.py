@@ -66,14 +66,18 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, see
     point, null last, take the weights in turn. A source repeats all its documents
     ``floor(target / source_size)`` times and takes one more copy of some: within
     each stratum documents stand in the order of a seeded hash, and those up to the
-    wanted number of words get it, which misses by half a document at most. Equal
-    rows are equal documents and interchangeable. Empty tables give no row; columns
+    wanted number of words get it, which misses by half a document at most. Strata
+    and order follow id and text together, so that rows without an id, or with one id,
+    spread like others. Rows equal in both are interchangeable. Empty tables give no row; columns
     of the result's names are replaced.
     """
     new = ["size", "source_size", "target", "copies", "taken"]
     work = scratch(docs.sparkSession, "mix")
     others = [F.col(f"`{c}`") for c in docs.columns if c not in new]
-    sized = docs.select(*others, count_words(whole("text")).alias("size"))
+    # rows travel as one column, so that none of their names meets one of the steps
+    row = F.struct(*others) if others else F.struct(F.lit(0))
+    text = F.xxhash64(F.isnull("doc_id"), "doc_id", whole("text"))
+    sized = docs.select(row.alias("row"), "source", "doc_id", text.alias("text"), count_words(whole("text")).alias("size"))
     sizes = stored(sized.select("source", "size"), f"{work}/sizes")
     sources = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_docs"))
     ranked = _ranked(sources, work)
@@ -93,14 +97,14 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, see
     )
     joined = sized.join(plan, sized["source"].eqNullSafe(plan["_source"]))
     strata = F.ceil(F.col("_docs") / STRATUM_ROWS)
-    joined = joined.withColumn("_stratum", F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), strata))
+    joined = joined.withColumn("_stratum", F.pmod(F.xxhash64(F.lit(seed), F.col("text")), strata))
     group = Window.partitionBy("_source", "_stratum")
-    order = group.orderBy(F.xxhash64(F.lit(seed + 1), F.col("doc_id")), "doc_id", "size")
+    order = group.orderBy(F.xxhash64(F.lit(seed + 1), F.col("text")), "doc_id", "text")
     seen = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))
     extra = (seen - F.col("size") / 2) < F.col("_share") * F.sum("size").over(group)
     copies = (F.col("_passes") + F.when(extra, F.lit(1)).otherwise(F.lit(0))).cast("bigint")
     return joined.withColumn("copies", copies).select(
-        *others, "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
+        "row.*", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
     )
 
 
