@@ -24,11 +24,12 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrays import WordHashes, mixed
+from tidemark.llm.arrays import WordHashes, mixed, window_hashes
 from tidemark.llm.common import hash_pair, whole
 
 MAX_EDITS = 0.25  # of the item's words
-MIN_WORDS = 6
+# Items of fewer words are sought as they are: an edit would change too much of them.
+EDITED_WORDS = 6
 WALKS, TABLES, SAMPLES = 12, 6, 3
 BLOCK_WORDS = 200_000
 # Sizes of what a task works on at a time; they bound its memory and change no result.
@@ -65,7 +66,12 @@ class BenchmarkIndex:
         cache = WordHashes()
         self.walks, self.max_edits = walks, max_edits
         self.items = [(i, cache.of(t.encode().lower().split())) for i, t in items]
-        self.items = [(i, h) for i, h in self.items if len(h) >= MIN_WORDS]
+        self.short: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
+        for at, (_, h) in enumerate(self.items):
+            if 0 < len(h) < EDITED_WORDS:
+                self.short[len(h)][int(window_hashes(h, len(h))[0])].append(at)
+        plain, self.items = self.items, [(i, h) for i, h in self.items if len(h) >= EDITED_WORDS]
+        self.plain = plain
         self.pairs = np.unique(np.concatenate([mixed(h[:-1], h[1:]) for _, h in self.items])) if self.items else np.zeros(0, np.uint64)
         rng = np.random.default_rng(20_240_601)
         longest = max((len(h) for _, h in self.items), default=1)
@@ -109,17 +115,20 @@ class BenchmarkIndex:
                 key = mixed(key, seen[j][number // steps.shape[1]])
             yield key
 
-    def search(self, texts: list[bytes], cache: WordHashes) -> Iterator[tuple[int, int, int, int, int]]:
-        """(text, item, start, stop, edits) for each item within its edits of a run of a text."""
-        if not self.items or not texts:
+    def search(self, texts: list[bytes], cache: WordHashes) -> Iterator[tuple[int, int, int, int, int, int]]:
+        """(text, item, its words, start, stop, edits) for each item within its edits of a run of a text."""
+        if not self.plain or not texts:
             return
         hashes = [cache.of(t.lower().split()) for t in texts]
         size = np.fromiter(map(len, hashes), np.int64, len(hashes))
-        if size.sum() < 2:
+        if not size.sum():
             return
         words = np.concatenate(hashes)
         last = np.cumsum(size)
         of_text = np.repeat(np.arange(len(texts)), size)
+        yield from self._search_short(words, of_text, last - size)
+        if not self.items or len(words) < 2:
+            return
         pair = mixed(words[:-1], words[1:])
         where = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
         hit = (self.pairs[where] == pair) & (of_text[1:] == of_text[:-1])
@@ -144,8 +153,24 @@ class BenchmarkIndex:
         for (text, item), starts in near.items():
             yield from self._verified(text, item, sorted(set(starts)), words, int(last[text] - size[text]), int(last[text]))
 
+    def _search_short(self, words: np.ndarray, of_text: np.ndarray, first: np.ndarray) -> Iterator[tuple]:
+        """Places of the short items, leftmost first and without overlap."""
+        for n, known in self.short.items():
+            found = window_hashes(words, n)
+            wanted = np.fromiter(known, np.uint64, len(known))
+            ends: dict[tuple[int, int], int] = {}
+            for at in np.flatnonzero(np.isin(found, wanted)).tolist():
+                text = int(of_text[at])
+                if of_text[at + n - 1] != text:
+                    continue
+                for item in known[int(found[at])]:
+                    if at >= ends.get((text, item), 0) and np.array_equal(words[at : at + n], self.plain[item][1]):
+                        ends[text, item] = at + n
+                        start = at - int(first[text])
+                        yield text, self.plain[item][0], n, start, start + n, 0
+
     def _verified(self, text: int, item: int, starts: list[int], words: np.ndarray, low: int, high: int) -> Iterator[tuple]:
-        """Windows of one item that lie close together are verified as one stretch of text."""
+        """Windows of one item that lie close together are verified as one stretch of text, and what lies beside a place again."""
         sought = self.items[item][1].tolist()
         n, k = len(sought), self.edits(len(sought))
         at = 0
@@ -153,12 +178,18 @@ class BenchmarkIndex:
             first = at
             while at + 1 < len(starts) and starts[at + 1] - starts[at] <= n:
                 at += 1
-            a, b = max(low, starts[first] - k), min(high, starts[at] + n + k)
-            stretch = words[a:b].tolist()
-            edits, end = infix_edits(sought, stretch)
-            if edits <= k:
-                _, back = infix_edits(sought[::-1], stretch[:end][::-1])
-                yield text, self.items[item][0], a - low + end - back, a - low + end, edits
+            open_ = [(max(low, starts[first] - k), min(high, starts[at] + n + k))]
+            while open_:
+                a, b = open_.pop()
+                if b - a < n - k:
+                    continue
+                stretch = words[a:b].tolist()
+                edits, end = infix_edits(sought, stretch)
+                if edits <= k:
+                    _, back = infix_edits(sought[::-1], stretch[:end][::-1])
+                    start, stop = a + end - back, a + end
+                    yield text, self.items[item][0], n, start - low, stop - low, edits
+                    open_ += [(a, start), (stop, b)]
             at += 1
 
 
@@ -171,13 +202,11 @@ def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 
 def _search(index: BenchmarkIndex, carried: list[str]):
-    sizes = {i: len(h) for i, h in index.items}
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
         for batch in (part for whole_batch in batches for part in _slices(whole_batch)):
             texts = batch["text"].to_pylist()
-            found = [(t, i, a, b, e, 1 - e / sizes[i]) for t, i, a, b, e in index.search(texts, cache)]
+            found = [(t, i, a, b, e, 1 - e / n) for t, i, n, a, b, e in index.search(texts, cache)]
             if found:
                 of_text, *columns = zip(*found)
                 rows = batch.select(carried).take(pa.array(of_text))
@@ -210,9 +239,9 @@ def find_leaks(
     One row per document, item and place: the words [start, stop) of the text are
     ``edits`` word edits from the item, at most ``max_edits`` of its words. Words are
     compared with A-Z lower-cased. The benchmark is the stated query set: it is taken
-    in blocks of a bounded number of words, each searched in all documents. Items of
-    fewer than 6 words would occur by chance and are not sought; null items and ids
-    of items are skipped. Null texts are empty. Repeated ids give their own rows.
+    in blocks of a bounded number of words, each searched in all documents. Places of an
+    item do not overlap. Items of fewer than 6 words are sought without edits; items
+    without a word, null items and null ids of items are skipped. Null texts are empty. Repeated ids give their own rows.
     Empty tables give no row; other columns are not read.
     """
     settings = (max_edits, walks, tables, samples)
@@ -237,8 +266,13 @@ def drop_leaked(
     docs: DataFrame, benchmark: DataFrame, max_edits: float = MAX_EDITS, walks: int = WALKS, tables: int = TABLES,
     samples: int = SAMPLES, block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
-    """The rows of ``docs`` that hold no item; each is judged by its own text, whatever its id."""
+    """The rows of ``docs`` that hold no item, with all columns.
+
+    Each is judged by its own whole text, whatever its id: repeated rows stay or go
+    together, null ids count like others, and null or empty texts stay. An empty table or
+    an empty benchmark drops no row; columns may have any names.
+    """
     key = ["_text_1", "_text_2"]
     hashes = [part.alias(name) for part, name in zip(hash_pair(whole("text")), key)]
     leaked = _found(docs.select(*hashes, _text()), benchmark, key, (max_edits, walks, tables, samples), block_words).select(key).distinct()
-    return docs.select("*", *hashes).join(leaked, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.select(F.struct("*").alias("row"), *hashes).join(leaked, key, "left_anti").select("row.*")
