@@ -125,10 +125,12 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fan_in:
     drops = stored(dropped_lines(keys, runs.owners()), f"{work}/drops")
 
     kept_columns = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept_columns], *_row_key(F.col("text")))
-    n_lines = F.size(text_lines(F.col("text"))).cast("bigint")
+    # rows travel as one column, so that none of their names meets one of the steps
+    row = F.struct(*[F.col(f"`{c}`") for c in kept_columns])
+    rows = docs.select(row.alias("_row"), F.col("text").alias("_text"), *_row_key(F.col("text")))
+    n_lines = F.size(text_lines(F.col("_text"))).cast("bigint")
     kept = let(
-        text_lines(F.col("text")),
+        text_lines(F.col("_text")),
         lambda lines: F.array_join(
             F.transform(
                 F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_drop")), lambda i: F.get(lines, i)
@@ -138,7 +140,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fan_in:
     )
     joined = rows.join(drops, ROW, "left")
     return joined.select(
-        *[F.when(F.col("_drop").isNull(), whole("text")).otherwise(kept).alias("text") if c == "text" else F.col(f"`{c}`") for c in kept_columns],
+        *[F.when(F.col("_drop").isNull(), whole("_text")).otherwise(kept).alias(c) if c == "text" else F.col("_row").getField(c).alias(c) for c in kept_columns],
         n_lines.alias("n_lines"),
         F.coalesce(F.size("_drop"), F.lit(0)).cast("bigint").alias("n_dropped"),
     )

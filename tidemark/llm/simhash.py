@@ -285,8 +285,8 @@ def drop_near_duplicates(docs: DataFrame, shingle_words: int = 5, similarity: fl
     first = marked.groupBy("vertex").agg(F.min(order).alias("best"))
     rooted = first.join(stars.withColumnRenamed("u", "vertex"), "vertex", "left").groupBy(F.coalesce("v", "vertex").alias("root"))
     best = rooted.agg(F.min("best").alias("best")).select("best._row_1", "best._row_2")
-    keyed = docs.select("*", *row_key())
-    return keyed.join(best, ROW, "left_semi").dropDuplicates(ROW).select(*[F.col(f"`{c}`") for c in docs.columns])
+    keyed = docs.select(F.struct("*").alias("row"), *row_key())
+    return keyed.join(best, ROW, "left_semi").dropDuplicates(ROW).select("row.*")
 
 
 def near_digest(docs: DataFrame) -> DataFrame:
