@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
 from dataclasses import dataclass
 
@@ -16,6 +17,8 @@ DATA_FILE_GLOB = "*.[pP][aA][rR][qQ][uU][eE][tT]"
 # Stands in a run folder once all of the run is staged.
 COMPLETE_FILE = "run.complete"
 
+_CREATING = threading.Lock()
+
 FILE_SCHEMA = T.StructType(
     [
         T.StructField("path", T.StringType()),
@@ -79,8 +82,14 @@ def create_text(spark: SparkSession, file: str, text: str) -> bool:
     """Write a new small file; False if it exists already.
 
     The text goes to a temporary name first and is then renamed, so that a reader
-    never sees part of it. Hadoop's rename does not replace a file.
+    never sees part of it. Hadoop's rename does not replace a file; that of a local
+    file system may, so the writers of one process take turns.
     """
+    with _CREATING:
+        return _create_text(spark, file, text)
+
+
+def _create_text(spark: SparkSession, file: str, text: str) -> bool:
     fs, path = _file_system(spark, file)
     if fs.exists(path):
         return False
