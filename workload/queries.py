@@ -43,7 +43,7 @@ from tidemark.plans.runs import run_pass
 from tidemark.plans.sync import eligible_source
 from tidemark.session import scratch_folder
 from tidemark.sources.extract import capture_deleted, capture_rows, extract_run
-from tidemark.sources.files import list_data_files, newest_run
+from tidemark.sources.files import list_data_files, list_names, newest_run
 from tidemark.sources.staged import read_columns, scan_folder
 from tidemark.sources.targets import TargetStore
 from tidemark.spec import ColumnSpec
@@ -604,6 +604,108 @@ def delete_ids_job(roles):
     return delete_ids(roles.spark, ORDER_ITEM, deleted_ids(roles), store, TABLES)
 
 
+@query
+def cascade_delete_job(roles):
+    """Categories go with their items, and these with their links."""
+    return cascaded(roles)[1]
+
+
+@query
+def cascade_delete_links(roles):
+    return cascaded(roles)[0].read(LINE_BLOB)
+
+
+def cascaded(roles: Roles) -> tuple[TargetStore, DataFrame]:
+    store, _, _ = one_pass(roles)
+    doomed = roles.table("customer").where("c_mktsegment = 'MACHINERY'").select(F.col("c_custkey").alias("Id"))
+    return store, delete_ids(roles.spark, CATEGORY, doomed, store, TABLES)
+
+
+def one_pass(roles: Roles, slice_rows: int = 250_000) -> tuple[TargetStore, RunLedger, SyncOptions]:
+    """The earlier extract, loaded."""
+    root = staged_runs(roles, {FIRST: roles.earlier()})
+    store = TargetStore(roles.spark, f"{root}/target", slice_rows=slice_rows)
+    ledger = RunLedger(roles.spark, f"{root}/ledger")
+    options = SyncOptions(stage_root=f"{root}/stage")
+    loaded(run_pass(roles.spark, TABLES, store, ledger, options))
+    return store, ledger, options
+
+
+def loaded(summary):
+    if summary.failure:
+        raise summary.failure
+    return summary
+
+
+@query
+def pass_rerun_writes(roles):
+    """The same run once more, with default options: nothing changes and no data folder is added."""
+    store, ledger, options = one_pass(roles)
+    before = {s.name: store.current(s.name) for s in TABLES}
+    folders = {s.name: len(list_names(roles.spark, f"{store.root}/{s.name}", directories=True)) for s in TABLES}
+    again = loaded(run_pass(roles.spark, TABLES, store, ledger, replace(options, skip_completed_tables=False)))
+    rows = []
+    for t in again.tables:
+        now = len(list_names(roles.spark, f"{store.root}/{t.table_name}", directories=True))
+        changed = t.rows_inserted + t.rows_updated + t.rows_deleted
+        same = store.current(t.table_name) == before[t.table_name]
+        rows.append((t.table_name, t.rows_unchanged, changed, now - folders[t.table_name], same))
+    schema = "TableName string, RowsUnchanged bigint, RowsChanged bigint, FoldersWritten bigint, SameVersion boolean"
+    return roles.spark.createDataFrame(rows, schema)
+
+
+def sliced_passes(roles: Roles) -> TargetStore:
+    """Both extracts, synced into tables of many slices, with prune."""
+    store, ledger, options = one_pass(roles, slice_rows=2_000)
+    extract_run(roles.spark, TABLES, roles.staged(), options.stage_root, SECOND)
+    loaded(run_pass(roles.spark, TABLES, store, ledger, replace(options, prune_missing_rows=True)))
+    return store
+
+
+@query
+def sliced_pass_items(roles):
+    return sliced_passes(roles).read(ORDER_ITEM)
+
+
+@query
+def sliced_pass_links(roles):
+    return sliced_passes(roles).read(LINE_BLOB)
+
+
+def later_pass(roles: Roles, frames: dict[str, DataFrame], **changes):
+    """Another extract over the loaded one."""
+    store, ledger, options = one_pass(roles)
+    extract_run(roles.spark, TABLES, frames, options.stage_root, SECOND)
+    return store, ledger, run_pass(roles.spark, TABLES, store, ledger, replace(options, **changes))
+
+
+@query
+def prune_guard_items(roles):
+    """An extract in which every item is deleted stages nothing, and is not taken for a reason to prune all."""
+    frames = {**roles.earlier(), "Item": roles.earlier_items().withColumn("Deleted", F.lit(True))}
+    store, _, summary = later_pass(roles, frames, prune_missing_rows=True, skip_tables=frozenset({"ItemBlob"}))
+    loaded(summary)
+    return store.read(ORDER_ITEM)
+
+
+@query
+def skipped_table_rows(roles):
+    """A table that the options skip keeps its rows while the others are synced."""
+    store, _, summary = later_pass(roles, roles.staged(), skip_tables=frozenset({"blob"}))
+    loaded(summary)
+    return store.read(PART_BLOB)
+
+
+@query
+def stopped_pass_ledger(roles):
+    """A required value that is missing fails its table, and the tables after it are not begun."""
+    items = roles.staged_items().withColumn("ItemID", F.when(F.col("Active"), F.col("ItemID")))
+    _, ledger, summary = later_pass(roles, {**roles.staged(), "Item": items}, exclude_deleted_items=False)
+    if summary.failed_table != "Item":
+        raise AssertionError(f"The pass failed at {summary.failed_table}.")
+    return ledger.report(SECOND).select("TableName", "Status", "RowsRead", "RowsStaged")
+
+
 @query
 def extract_counts(roles):
     root = staged_runs(roles, {FIRST: roles.staged()})

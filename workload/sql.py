@@ -72,6 +72,9 @@ EXPRESSIONS = {
         SELECT * FROM earlier_links l
         WHERE EXISTS (SELECT 1 FROM first_items i WHERE i.Id = l.ItemId)
           AND EXISTS (SELECT 1 FROM earlier_blobs b WHERE b.BlobId = l.BlobId)""",
+    # What goes with the categories of one segment.
+    "doomed_categories": "SELECT c_custkey AS Id FROM customer WHERE c_mktsegment = 'MACHINERY'",
+    "doomed_items": "SELECT Id FROM first_items WHERE CategoryId IN (SELECT Id FROM doomed_categories)",
     # The later pass: all customers are there, deleted items are pruned.
     "second_items": "SELECT * FROM items",
     "cascaded_links": "SELECT * FROM first_links l WHERE EXISTS (SELECT 1 FROM items i WHERE i.Id = l.ItemId)",
@@ -116,6 +119,7 @@ NEEDS = {
     "item_actions": ["held_items", "earlier_items"],
     "first_items": ["earlier_items", "earlier_categories"],
     "first_links": ["earlier_links", "first_items", "earlier_blobs"],
+    "doomed_items": ["first_items", "doomed_categories"],
     "second_items": ["items"],
     "cascaded_links": ["first_links", "items"],
     "second_eligible": ["one_link", "items", "blobs"],
@@ -475,6 +479,35 @@ STATEMENTS = {
                   CAST(0 AS BIGINT) AS StillPresent""",
         "first_links", "deleted_ids",
     ),
+    "cascade_delete_job": statement(
+        """SELECT (SELECT count(*) FROM first_links WHERE ItemId IN (SELECT Id FROM doomed_items)) AS ItemBlobRowsDeleted,
+                  (SELECT count(*) FROM doomed_items) AS ItemRowsDeleted,
+                  (SELECT count(*) FROM earlier_categories WHERE Id IN (SELECT Id FROM doomed_categories)) AS ItemCategoryRowsDeleted,
+                  (SELECT count(*) FROM earlier_categories WHERE Id NOT IN (SELECT Id FROM doomed_categories)) AS ItemCategorysRemaining,
+                  CAST(0 AS BIGINT) AS StillPresent""",
+        "first_links", "doomed_items",
+    ),
+    "cascade_delete_links": statement(
+        "SELECT * FROM first_links WHERE ItemId NOT IN (SELECT Id FROM doomed_items)", "first_links", "doomed_items"
+    ),
+    "pass_rerun_writes": statement(
+        """SELECT TableName, n AS RowsUnchanged, CAST(0 AS BIGINT) AS RowsChanged, CAST(0 AS BIGINT) AS FoldersWritten, true AS SameVersion
+           FROM (SELECT 'ItemCategory' AS TableName, count(*) AS n FROM earlier_categories
+                 UNION ALL SELECT 'Blob', count(*) FROM earlier_blobs
+                 UNION ALL SELECT 'Item', count(*) FROM first_items
+                 UNION ALL SELECT 'ItemBlob', count(*) FROM first_links)""",
+        "first_links",
+    ),
+    "sliced_pass_items": statement("SELECT Id, CategoryId, Name FROM items", "items"),
+    "sliced_pass_links": statement("SELECT * FROM second_links", "second_links"),
+    "prune_guard_items": statement("SELECT Id, CategoryId, Name FROM first_items", "first_items"),
+    "skipped_table_rows": statement("SELECT BlobId, Name FROM earlier_blobs", "earlier_blobs"),
+    "stopped_pass_ledger": statement(
+        """SELECT 'ItemCategory' AS TableName, 'Succeeded' AS Status, (SELECT count(*) FROM customer) AS RowsRead, (SELECT count(*) FROM customer) AS RowsStaged
+           UNION ALL SELECT 'Blob', 'Succeeded', (SELECT count(*) FROM part), (SELECT count(*) FROM blobs)
+           UNION ALL SELECT 'Item', 'Failed', NULL, NULL""",
+        "blobs",
+    ),
     "extract_counts": """
         SELECT 'ItemCategory' AS TableName, count(*) AS "Rows" FROM customer
         UNION ALL SELECT 'Blob', count(*) FROM part
