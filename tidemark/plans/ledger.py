@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import re
 import time
+import uuid
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 
@@ -10,7 +13,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.sources.files import folder_exists
+from tidemark.errors import ConfigurationError
+from tidemark.sources.files import (
+    create_text,
+    delete_file,
+    delete_folder,
+    folder_exists,
+    is_data_file,
+    list_names,
+    read_text,
+    rename,
+)
+
+# Names of merged event files with their level, and of lists of the files they replace with their time.
+_MERGED = re.compile(r"merged-(\d{2})-[0-9a-f]{32}\.parquet$")
+_RETIRED = re.compile(r"_retired-(\d+)-[0-9a-f]{32}\.json$")
 
 # The states of a table within a run.
 RUNNING = "Running"
@@ -103,7 +120,8 @@ def current_state(events: DataFrame) -> DataFrame:
         events.groupBy("RunId", "TableName")
         .agg(
             last.alias("last"),
-            F.count_if(running).cast("int").alias("AttemptCount"),
+            # by number, as a merge that was cut short leaves events in two files
+            F.size(F.collect_set(F.when(running, F.col("EventSeq")))).cast("int").alias("AttemptCount"),
             F.max_by("EventUtc", F.when(running, F.col("EventSeq"))).alias("StartedUtc"),
             F.max_by(counters, F.when(succeeded, F.col("EventSeq"))).alias("counters"),
         )
@@ -133,13 +151,25 @@ def pending_tables(events: DataFrame, tables: DataFrame) -> DataFrame:
 
 
 class RunLedger:
-    """Events below one folder, one Parquet file each, partitioned by run."""
+    """Events below one folder, partitioned by run, in levels of files.
+
+    An event is written as a file of its own. Once a run has ``fan_in`` files of a level,
+    they are merged into one of the next, so that a run of n events has some
+    ``fan_in * log(n)`` files. The merged file is renamed into place, and the files it
+    stands for are listed beside it and deleted by a later merge, ``grace_seconds``
+    after, when readers that began before have ended. Events that stand in two files
+    count once.
+    """
 
     _last_seq = 0
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, fan_in: int = 16, grace_seconds: float = 600.0):
+        if fan_in < 2:
+            raise ConfigurationError("fan_in must be at least 2.")
         self.spark = spark
         self.path = path.rstrip("/")
+        self.fan_in = fan_in
+        self.grace_seconds = grace_seconds
 
     def ensure(self) -> None:
         """Create an empty ledger where there is none."""
@@ -171,6 +201,52 @@ class RunLedger:
         self.spark.range(1, numPartitions=1).select(*row, now.alias("EventUtc")).write.mode(
             "append"
         ).partitionBy("RunId").parquet(self.path)
+        self.compact(run_id)
+
+    def _folder(self, run_id: str) -> str:
+        """The folder of a run; Spark escapes some characters of its name."""
+        jvm = self.spark.sparkContext._jvm
+        return f"{self.path}/RunId={jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(run_id)}"
+
+    def files(self, run_id: str) -> dict[int, list[str]]:
+        """Names of the files of a run by level, without those that a merged file stands for."""
+        return self._files(run_id)[0]
+
+    def _files(self, run_id: str) -> tuple[dict[int, list[str]], dict[str, list[str]]]:
+        folder = self._folder(run_id)
+        names = list_names(self.spark, folder, directories=False)
+        merged = {n: json.loads(read_text(self.spark, f"{folder}/{n}")) for n in names if _RETIRED.match(n)}
+        gone = {n for listed in merged.values() for n in listed}
+        levels: dict[int, list[str]] = {}
+        for name in sorted(n for n in names if is_data_file(n) and n not in gone):
+            level = _MERGED.match(name)
+            levels.setdefault(int(level[1]) if level else 0, []).append(name)
+        return levels, merged
+
+    def compact(self, run_id: str) -> None:
+        """Merge full levels of a run, and delete what earlier merges replaced."""
+        folder = self._folder(run_id)
+        levels, merged = self._files(run_id)
+        for listing, listed in merged.items():
+            if time.time() - int(_RETIRED.match(listing)[1]) / 1e9 >= self.grace_seconds:
+                for name in listed:
+                    delete_file(self.spark, f"{folder}/{name}")
+                delete_file(self.spark, f"{folder}/{listing}")
+        schema = T.StructType([f for f in EVENT_SCHEMA if f.name != "RunId"])
+        level = 0
+        while len(levels.get(level, [])) >= self.fan_in:
+            sources = levels.pop(level)
+            work = f"{self.path}/_merge-{uuid.uuid4().hex}"
+            rows = self.spark.read.schema(schema).parquet(*[f"{folder}/{n}" for n in sources])
+            rows.dropDuplicates(["TableName", "EventSeq"]).coalesce(1).write.parquet(work)
+            level += 1
+            name = f"merged-{level:02d}-{uuid.uuid4().hex}.parquet"
+            (part,) = (n for n in list_names(self.spark, work, directories=False) if is_data_file(n))
+            # The list comes second: without it events are read twice and count once; alone it would hide them.
+            rename(self.spark, f"{work}/{part}", f"{folder}/{name}")
+            create_text(self.spark, f"{folder}/_retired-{time.time_ns()}-{uuid.uuid4().hex}.json", json.dumps(sources))
+            delete_folder(self.spark, work)
+            levels.setdefault(level, []).append(name)
 
     def mark_running(self, run_id: str, table: str) -> None:
         self._append(run_id, table, RUNNING)

@@ -110,6 +110,12 @@ def delete_folder(spark: SparkSession, folder: str) -> None:
     fs.delete(path, True)
 
 
+def rename(spark: SparkSession, file: str, name: str) -> None:
+    fs, path = _file_system(spark, file)
+    if not fs.rename(path, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)):
+        raise OSError(f"{file} could not be renamed to {name}.")
+
+
 def delete_file(spark: SparkSession, file: str) -> None:
     fs, path = _file_system(spark, file)
     fs.delete(path, False)
