@@ -15,6 +15,9 @@ from tidemark.spec import ColumnSpec, FlagFilter, TableSpec
 
 KEEP = "_keep"
 CUT = "_cut"
+# Why a row is filtered out, and its key as it is staged.
+REASON = "_reason"
+KEY_TEXT = "_key_text"
 
 
 def _flag_drops(df: DataFrame, flag: FlagFilter) -> Column | None:
@@ -36,17 +39,20 @@ def _raw_value(df: DataFrame, column: ColumnSpec) -> Column:
 
 
 def resolve_rows(df: DataFrame, spec: TableSpec, options: SyncOptions) -> DataFrame:
-    """Every staged row under its target columns, plus ``_keep`` and ``_cut``.
+    """Every staged row under its target columns, plus ``_keep``, ``_cut``, ``_reason`` and ``_key_text``.
 
     The flag filters decide before any value is checked, so a dropped row may
     hold anything. ``_cut`` counts the values shortened in rows that passed
     the flags. Rows are not removed here, so that one pass can count them.
     """
-    drops = [
-        drop
+    named = [
+        (flag, drop)
         for flag in spec.flags
         if getattr(options, flag.option) and (drop := _flag_drops(df, flag)) is not None
     ]
+    drops = [drop for _, drop in named]
+    reason = F.lit(None).cast("string")
+    key_text = F.lit(None).cast("string")
 
     def unless_dropped(value: Column) -> Column:
         for drop in reversed(drops):
@@ -62,8 +68,11 @@ def resolve_rows(df: DataFrame, spec: TableSpec, options: SyncOptions) -> DataFr
         if column.required:
             value = required(value, column.aliases[0])
             checked.append(value)
+        if column.name == spec.key and (staged_key := find_column(df.columns, column.aliases)):
+            key_text = F.col(f"`{staged_key}`").cast("string")
         if column.reject_null:
             present.append(value.isNotNull())
+            reason = F.when(value.isNull(), F.lit(f"{column.name} is missing")).otherwise(reason)
         if column.width is not None:
             cuts.append(too_wide(value, column.width).cast("int"))
             value = fit_width(value, column.width)
@@ -79,8 +88,14 @@ def resolve_rows(df: DataFrame, spec: TableSpec, options: SyncOptions) -> DataFr
     for drop in reversed(drops):
         keep = F.when(drop, F.lit(False)).otherwise(keep)
     cut = reduce(lambda a, b: a + b, cuts) if cuts else F.lit(0)
+    for flag, drop in reversed(named):
+        reason = F.when(drop, F.lit(f"filtered by {flag.option}")).otherwise(reason)
     return df.select(
-        *values, keep.alias(KEEP), F.coalesce(unless_dropped(cut), F.lit(0)).alias(CUT)
+        *values,
+        keep.alias(KEEP),
+        F.coalesce(unless_dropped(cut), F.lit(0)).alias(CUT),
+        reason.alias(REASON),
+        key_text.alias(KEY_TEXT),
     )
 
 
@@ -114,11 +129,19 @@ def map_rows(
     With an ``observation`` the counters are gathered while the rows pass, at
     no extra scan.
     """
+    return kept_rows(resolve_all(frames, spec, options, observation), spec)
+
+
+def resolve_all(
+    frames: DataFrame | Sequence[DataFrame],
+    spec: TableSpec,
+    options: SyncOptions,
+    observation: Observation | None = None,
+) -> DataFrame:
+    """All staged rows, kept or not, as ``resolve_rows`` gives them."""
     if isinstance(frames, DataFrame):
         frames = [frames]
     resolved = reduce(
         DataFrame.unionByName, [resolve_rows(frame, spec, options) for frame in frames]
     )
-    if observation is not None:
-        resolved = resolved.observe(observation, *counters())
-    return kept_rows(resolved, spec)
+    return resolved if observation is None else resolved.observe(observation, *counters())

@@ -8,15 +8,15 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.dedup import first_per_key
-from tidemark.operators.mapping import map_rows
+from tidemark.operators.dedup import duplicate_counts, first_per_key
+from tidemark.operators.mapping import KEEP, KEY_TEXT, REASON, kept_rows, map_rows, resolve_all
 from tidemark.operators.merge import action_counters, after_merge, classify
 from tidemark.operators.parents import ELIGIBLE, flag_eligible, orphan_values
 from tidemark.operators.prune import not_staged
 from tidemark.options import SyncOptions
 from tidemark.plans.ledger import SyncResult
 from tidemark.plans.rewrite import cascade, materialise, sized, work_folder
-from tidemark.sources.files import Run
+from tidemark.sources.files import Run, folder_exists
 from tidemark.sources.jdbc import JdbcSource, write_jdbc
 from tidemark.sources.staged import StagedScan, scan_folder
 from tidemark.sources.targets import SLICE, TargetStore, Version, digest_columns, slice_of
@@ -209,6 +209,67 @@ def _take_counters(result: SyncResult, seen: Mapping[str, int]) -> None:
     result.values_truncated = seen["values_truncated"]
 
 
+OUTCOMES = "Key string, Outcome string, Rows bigint"
+
+
+def read_part(spark: SparkSession, folder: str, schema) -> DataFrame:
+    """The rows of a partition folder; one that was never written holds none."""
+    if not folder_exists(spark, folder):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(folder)
+
+
+def staged_outcomes(
+    staged: DataFrame, spec: TableSpec, orphans: Sequence[tuple[str, DataFrame]]
+) -> DataFrame:
+    """``Key, Outcome, Rows`` of the staged rows that do not reach the merge.
+
+    The rows of a key beyond the first are counted under one outcome. A first row whose
+    parents are missing is named by the first reference, in order of the spec, that finds none.
+    """
+    twice = duplicate_counts(staged, spec.key).select(
+        F.col(spec.key).cast("string").alias("Key"),
+        F.lit("duplicate").alias("Outcome"),
+        F.col("extra_rows").alias("Rows"),
+    )
+    parents = {p.column: p.table for p in spec.parents}
+    first = unique_source(staged, spec)
+    outcome = F.lit(None).cast("string")
+    for position, (column, values) in reversed(list(enumerate(orphans))):
+        name = f"_missing_{position}"
+        marked = values.select(F.col(column).alias(f"{name}_value"), F.lit(True).alias(name))
+        first = first.join(marked, F.col(column).eqNullSafe(F.col(f"{name}_value")), "left")
+        outcome = F.when(F.col(name), F.lit(f"no {parents[column]} for {column}")).otherwise(outcome)
+    lost = first.select(
+        F.col(spec.key).cast("string").alias("Key"), outcome.alias("Outcome"), F.lit(1).cast("bigint").alias("Rows")
+    ).where(F.col("Outcome").isNotNull())
+    return twice.unionByName(lost) if orphans else twice
+
+
+def write_outcomes(
+    spark: SparkSession,
+    spec: TableSpec,
+    staged: DataFrame,
+    orphans: Sequence[tuple[str, DataFrame]],
+    mapped: str,
+    quarantine: str,
+) -> None:
+    """What became of every staged row that is not in the target, in one folder per outcome."""
+    filtered = read_part(spark, f"{mapped}/{KEEP}=false", f"{REASON} string, {KEY_TEXT} string").select(
+        F.col(KEY_TEXT).alias("Key"), F.col(REASON).alias("Outcome"), F.lit(1).cast("bigint").alias("Rows")
+    )
+    rows = filtered.unionByName(staged_outcomes(staged, spec, orphans))
+    rows.write.mode("overwrite").partitionBy("Outcome").parquet(quarantine)
+
+
+def read_outcomes(spark: SparkSession, options: SyncOptions, run_id: str, spec: TableSpec) -> DataFrame:
+    """``Key, Outcome, Rows`` of a table of a pass that kept them."""
+    folder = f"{options.quarantine_root.rstrip('/')}/{run_id}/{spec.name}"
+    if not folder_exists(spark, folder):
+        return spark.createDataFrame([], OUTCOMES)
+    return spark.read.schema(OUTCOMES).parquet(folder).select("Key", "Outcome", "Rows")
+
+
 def load_scan(
     spark: SparkSession,
     spec: TableSpec,
@@ -217,6 +278,7 @@ def load_scan(
     options: SyncOptions,
     specs: Sequence[TableSpec],
     tags: Mapping[str, object] | None = None,
+    quarantine: str | None = None,
 ) -> SyncResult:
     """Map, de-duplicate, check parents, merge, prune and set the high-water mark.
 
@@ -229,12 +291,21 @@ def load_scan(
 
     with work_folder(spark, store, spec.name) as work:
         observed = Observation()
-        map_rows(scan.frames, spec, options, observed).write.parquet(f"{work}/staged")
-        staged = spark.read.schema(spec.schema).parquet(f"{work}/staged")
+        resolved = resolve_all(scan.frames, spec, options, observed)
+        if quarantine is None:
+            kept_rows(resolved, spec).write.parquet(f"{work}/staged")
+            staged = spark.read.schema(spec.schema).parquet(f"{work}/staged")
+        else:
+            # rows that are left out are a second output of the same scan
+            dealt = resolved.select(*spec.column_names, KEEP, REASON, KEY_TEXT)
+            dealt.write.partitionBy(KEEP).parquet(f"{work}/staged")
+            staged = read_part(spark, f"{work}/staged/{KEEP}=true", spec.schema)
         _take_counters(result, observed.get)
 
         wants_prune = options.prune_missing_rows and spec.prunable
         if result.rows_staged == 0:
+            if quarantine is not None:
+                write_outcomes(spark, spec, staged, [], f"{work}/staged", quarantine)
             if wants_prune:
                 result.warnings.append(
                     f"{spec.name} was not pruned. Nothing was staged for it, so each of its target rows "
@@ -267,6 +338,8 @@ def load_scan(
                 removed = cascade(spark, store, spec, specs, doomed, work)
                 result.child_rows_deleted += sum(removed.values())
             merge_into(spec, flag_eligible(staged, orphans), store, options, result, wants_prune, tags)
+        if quarantine is not None:
+            write_outcomes(spark, spec, staged, orphans, f"{work}/staged", quarantine)
     if options.keep_versions is not None:
         store.drop_old_versions(spec, options.keep_versions)
     if result.rows_deleted:
@@ -326,7 +399,8 @@ def sync_table(
             warnings=[f"{spec.name} is unchanged: '{folder}' holds no data file, which the options allow."],
         )
     log.info("%s: %d file(s) to read in %s", spec.name, scan.file_count, folder)
-    result = load_scan(spark, spec, scan, store, options, specs, tags)
+    quarantine = options.quarantine_root and f"{options.quarantine_root.rstrip('/')}/{run.run_id}/{spec.name}"
+    result = load_scan(spark, spec, scan, store, options, specs, tags, quarantine)
     for warning in result.warnings:
         log.warning(warning)
     return result

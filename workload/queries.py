@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,7 +41,7 @@ from tidemark.options import SyncOptions
 from tidemark.plans.ledger import RunLedger, current_state, pending_tables, run_report
 from tidemark.plans.maintain import delete_ids, seed, verify
 from tidemark.plans.runs import run_pass
-from tidemark.plans.sync import eligible_source
+from tidemark.plans.sync import eligible_source, read_outcomes
 from tidemark.session import scratch_folder
 from tidemark.sources.extract import capture_deleted, capture_rows, extract_run
 from tidemark.sources.files import list_data_files, list_names, newest_run
@@ -706,6 +707,23 @@ def stopped_pass_ledger(roles):
     return ledger.report(SECOND).select("TableName", "Status", "RowsRead", "RowsStaged")
 
 
+@query
+def pass_outcomes(roles):
+    """Staged rows that the later pass left out, by table and reason."""
+    store, ledger, options = one_pass(roles)
+    extract_run(roles.spark, TABLES, roles.staged(), options.stage_root, SECOND)
+    options = replace(options, prune_missing_rows=True, quarantine_root=f"{options.stage_root}-left-out")
+    summary = loaded(run_pass(roles.spark, TABLES, store, ledger, options))
+    tables = [
+        read_outcomes(roles.spark, options, SECOND, spec).select(F.lit(spec.name).alias("TableName"), "Outcome", "Rows")
+        for spec in TABLES
+    ]
+    counts = reduce(DataFrame.unionByName, tables).groupBy("TableName", "Outcome").agg(F.sum("Rows").alias("Rows"))
+    told = {t.table_name: t.rows_filtered + t.rows_rejected for t in summary.tables}
+    expected = roles.spark.createDataFrame(list(told.items()), "TableName string, LeftOut bigint")
+    return counts.join(expected, "TableName")
+
+
 @query
 def extract_counts(roles):
     root = staged_runs(roles, {FIRST: roles.staged()})

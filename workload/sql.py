@@ -508,6 +508,17 @@ STATEMENTS = {
            UNION ALL SELECT 'Item', 'Failed', NULL, NULL""",
         "blobs",
     ),
+    "pass_outcomes": statement(
+        """SELECT TableName, Outcome, n AS "Rows", CAST(sum(n) OVER (PARTITION BY TableName) AS BIGINT) AS LeftOut FROM (
+               SELECT 'Blob' AS TableName, 'Name is missing' AS Outcome, count(*) AS n FROM part WHERE p_size = 1
+               UNION ALL SELECT 'Item', 'filtered by exclude_deleted_items', count(*) FROM orders WHERE o_orderstatus = 'F'
+               UNION ALL SELECT 'ItemBlob', 'duplicate', (SELECT count(*) FROM links) - (SELECT count(*) FROM one_link)
+               UNION ALL SELECT 'ItemBlob', 'no Item for ItemId', count(*) FROM one_link WHERE ItemId NOT IN (SELECT Id FROM items)
+               UNION ALL SELECT 'ItemBlob', 'no Blob for BlobId', count(*) FROM one_link
+                         WHERE ItemId IN (SELECT Id FROM items) AND BlobId NOT IN (SELECT BlobId FROM blobs))
+           WHERE n > 0""",
+        "one_link", "items", "blobs",
+    ),
     "extract_counts": """
         SELECT 'ItemCategory' AS TableName, count(*) AS "Rows" FROM customer
         UNION ALL SELECT 'Blob', count(*) FROM part
