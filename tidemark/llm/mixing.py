@@ -73,11 +73,11 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, see
     """
     new = ["size", "source_size", "target", "copies", "taken"]
     work = scratch(docs.sparkSession, "mix")
-    others = [F.col(f"`{c}`") for c in docs.columns if c not in new]
-    # rows travel as one column, so that none of their names meets one of the steps
-    row = F.struct(*others) if others else F.struct(F.lit(0))
+    # other columns travel under numbers, so that none of their names meets one of the steps
+    kept = {c: f"_column_{i}" for i, c in enumerate(c for c in docs.columns if c not in new)}
+    row = [F.col(f"`{c}`").alias(n) for c, n in kept.items()]
     text = F.xxhash64(F.isnull("doc_id"), "doc_id", whole("text"))
-    sized = docs.select(row.alias("row"), "source", "doc_id", text.alias("text"), count_words(whole("text")).alias("size"))
+    sized = docs.select(*row, "source", "doc_id", text.alias("text"), count_words(whole("text")).alias("size"))
     sizes = stored(sized.select("source", "size"), f"{work}/sizes")
     sources = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_docs"))
     ranked = _ranked(sources, work)
@@ -104,7 +104,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, see
     extra = (seen - F.col("size") / 2) < F.col("_share") * F.sum("size").over(group)
     copies = (F.col("_passes") + F.when(extra, F.lit(1)).otherwise(F.lit(0))).cast("bigint")
     return joined.withColumn("copies", copies).select(
-        "row.*", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
+        *[F.col(n).alias(c) for c, n in kept.items()], "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
     )
 
 
