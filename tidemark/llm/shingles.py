@@ -1,6 +1,7 @@
 """Near copies by the exact Jaccard similarity of their sets of shingles.
 
-Min-hash keys name the candidates: each key joins a few smallest hashes of the set,
+Candidates may be named from outside (``simhash`` names those of its index), and are
+settled first. Min-hash keys name the rest: each key joins a few smallest hashes of the set,
 and two sets share one of the keys nearly always from the sought similarity on (at
 0.8 the 20 keys of 5 hashes miss one pair in 2,700). Every link is then a pair whose
 sets were intersected, so keys that meet by chance link nothing. First a set is
@@ -15,7 +16,7 @@ comparison, so the components are those of all similar pairs.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -61,19 +62,19 @@ def vertex_of(shingles: np.ndarray) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def mark(texts: DataFrame, shingle_words: int, carried: list[str]) -> DataFrame:
-    """The ``carried`` bigint columns with ``vertex``, which names the set, ``size`` and ``keys``."""
+def mark(texts: DataFrame, shingle_words: int, carried: list[str], fingerprint: Callable[[bytes], int]) -> DataFrame:
+    """The ``carried`` bigint columns with ``vertex``, which names the set, ``size``, ``keys`` and the text's ``fp``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
         for batch in batches:
-            sets = (shingle_set(t, shingle_words, cache) for t in batch["text"].to_pylist())
-            rows = [(vertex_of(s), len(s), signed(min_hash_keys(s)).tolist()) for s in sets]
-            vertex, size, keys = zip(*rows) if rows else ([], [], [])
-            made = [pa.array(vertex, pa.int64()), pa.array(size, pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([*(batch[c] for c in carried), *made], names=[*carried, "vertex", "size", "keys"])
+            sets = ((t, shingle_set(t, shingle_words, cache)) for t in batch["text"].to_pylist())
+            rows = [(vertex_of(s), len(s), fingerprint(t), signed(min_hash_keys(s)).tolist()) for t, s in sets]
+            vertex, size, fp, keys = zip(*rows) if rows else ([], [], [], [])
+            made = [*(pa.array(c, pa.int64()) for c in (vertex, size, fp)), pa.array(keys, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in carried), *made], names=[*carried, "vertex", "size", "fp", "keys"])
 
-    return texts.mapInArrow(run, ", ".join(f"{c} bigint" for c in [*carried, "vertex", "size"]) + ", keys array<bigint>")
+    return texts.mapInArrow(run, ", ".join(f"{c} bigint" for c in [*carried, "vertex", "size", "fp"]) + ", keys array<bigint>")
 
 
 def _sets(texts: DataFrame, shingle_words: int) -> DataFrame:
@@ -248,35 +249,41 @@ def _linked(apart: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return dealt.sortWithinPartitions(*place).mapInArrow(_compare_tiles(similarity), "u bigint, v bigint").distinct()
 
 
-def near_components(marked: DataFrame, texts: DataFrame, row: list[str], shingle_words: int, similarity: float, work: str) -> DataFrame:
+def near_components(
+    marked: DataFrame, texts: DataFrame, row: list[str], shingle_words: int, similarity: float, work: str, candidates: DataFrame
+) -> DataFrame:
     """``u, v``: each vertex that similar pairs join to a smaller one, with the smallest.
 
     ``marked`` is what ``mark`` made of ``texts``, stored; ``row`` are the columns that name a row in both.
+    ``candidates`` are distinct pairs ``u, v`` of vertices with shingles, stored; those that are similar
+    are links, and keys then search only what these leave apart.
     """
     spark = marked.sparkSession
     rows = marked.select("vertex", "size", "keys").dropDuplicates(["vertex"]).select("vertex", "size", F.explode("keys").alias("key"))
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     members = stored(rows.join(shared, "key"), f"{work}/members")
-    chosen = marked.join(members.select("vertex").distinct(), "vertex", "left_semi").groupBy("vertex").agg(F.min(F.struct(*row)).alias("r"))
+    named = members.select("vertex").union(candidates.select("u")).union(candidates.select("v")).distinct()
+    chosen = marked.join(named, "vertex", "left_semi").groupBy("vertex").agg(F.min(F.struct(*row)).alias("r"))
     sets = stored(_sets(texts.join(chosen.select("r.*"), row, "left_semi"), shingle_words), f"{work}/sets")
-    apart = stored(_apart(members, None), f"{work}/apart-0")
+    links = stored(_verified(candidates, sets, similarity), f"{work}/links-0")
+    stars = components(links, f"{work}/round-0")
+    apart = stored(_apart(members, stars), f"{work}/apart-0")
     named = apart.where("label != main").groupBy("vertex", "pivot").agg(F.count(F.lit(1)).alias("times"))
     best = named.groupBy("vertex").agg(F.max(F.struct("times", "pivot")).alias("best"))
     pairs = stored(best.select(F.col("best.pivot").alias("u"), F.col("vertex").alias("v")), f"{work}/pairs")
-    links = stored(_verified(pairs, sets, similarity), f"{work}/links-0")
-    stars = components(links, f"{work}/round-0")
-    apart = stored(_apart(members, stars), f"{work}/apart-1")
-    links = links.unionByName(stored(_linked(apart, sets, similarity), f"{work}/links-1"))
+    links = stars.unionByName(stored(_verified(pairs, sets, similarity), f"{work}/links-1"))
     stars = components(links, f"{work}/round-1")
-    for done in ("apart-0", "apart-1", "pairs", "round-0", "members", "sets"):
+    apart = stored(_apart(members, stars), f"{work}/apart-1")
+    links = links.unionByName(stored(_linked(apart, sets, similarity), f"{work}/links-2"))
+    stars = components(links, f"{work}/round-2")
+    for done in ("apart-0", "apart-1", "pairs", "round-0", "round-1", "members", "sets"):
         delete_folder(spark, f"{work}/{done}")
     return stars
 
 
-def _apart(members: DataFrame, stars: DataFrame | None) -> DataFrame:
+def _apart(members: DataFrame, stars: DataFrame) -> DataFrame:
     """The members of keys that hold more than one label, with the main label of the key and its smallest vertex, and counts of members and shingles of all and of the main label."""
-    found = stars if stars is not None else members.sparkSession.createDataFrame([], "u bigint, v bigint")
-    labelled = members.join(found.withColumnRenamed("u", "vertex"), "vertex", "left").select("key", "vertex", "size", F.coalesce("v", "vertex").alias("label"))
+    labelled = members.join(stars.withColumnRenamed("u", "vertex"), "vertex", "left").select("key", "vertex", "size", F.coalesce("v", "vertex").alias("label"))
     parts = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("n_size"), F.min("vertex").alias("pivot"))
     top = F.max(F.struct("n", F.xxhash64("label").alias("h"), F.col("label").alias("main"), "pivot", "n_size")).alias("top")
     largest = parts.groupBy("key").agg(top, F.sum("n").alias("all"), F.sum("n_size").alias("all_size")).where("all > top.n")

@@ -269,18 +269,50 @@ def near_duplicates(
     )
 
 
-def drop_near_duplicates(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8) -> DataFrame:
+def _fingerprint(shingle_words: int):
+    def run(text: bytes) -> int:
+        return int(signed(fingerprints(text, shingle_words))[0])
+
+    return run
+
+
+def index_pairs(marked: DataFrame, max_bits: int, work: str) -> DataFrame:
+    """``u, v``: distinct pairs of vertices that the index of their fingerprints ``fp`` names, one for each vertex at most.
+
+    Each fingerprint has a pivot, its smallest vertex. Pairs are the pivots of a
+    fingerprint and of the nearest one it is linked to, and a pivot with every other vertex
+    of its fingerprint. Sets without shingles are one vertex, and are left out.
+    """
+    held = marked.where("size > 0").select("fp", "vertex").distinct()
+    classes = stored(held.groupBy("fp").agg(F.min("vertex").alias("pivot")), f"{work}/classes")
+    code = F.unhex(F.lpad(F.hex("fp"), 16, "0")).alias("code")
+    links = fingerprint_links(classes.select(F.col("fp").alias("vertex"), F.array("fp").alias("fps"), code), max_bits, work)
+    near = F.struct(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))).alias("bits"), "v")
+    nearest = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v"))).groupBy("u").agg(F.min(near).alias("near"))
+    first, second = (classes.select(F.col("fp").alias(c), F.col("pivot").alias(f"of_{c}")) for c in ("u", "v"))
+    between = nearest.select("u", "near.v").join(first, "u").join(second, "v").select("of_u", "of_v")
+    within = held.join(classes, "fp").select(F.col("pivot").alias("of_u"), F.col("vertex").alias("of_v"))
+    pairs = between.unionByName(within).where("of_u <> of_v").select(F.least("of_u", "of_v").alias("u"), F.greatest("of_u", "of_v").alias("v"))
+    return stored(pairs.distinct(), f"{work}/pairs")
+
+
+def drop_near_duplicates(
+    docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8, fingerprint_words: int = 3, max_bits: int = 2
+) -> DataFrame:
     """One row of each component, with all columns: the one with the smallest id (by hash among equals).
 
     Rows link if the Jaccard similarity of their sets of shingles is ``similarity`` or
-    more; candidates come from ``shingles``, whose keys miss a pair at 0.8 with a chance
-    of 0.0004 and fewer above, and no pair below links. Texts without words are alike.
+    more. The index of ``near_duplicates``, with its fingerprints of ``fingerprint_words``
+    words and its ``max_bits``, names candidates first; for pairs whose fingerprints are
+    farther apart, the keys of ``shingles`` do, which miss a pair at 0.8 with a chance
+    of 0.0004 and fewer above. No pair below links. Texts without words are alike.
     Rows with equal ids and texts are copies of one another; null ids come last.
     """
     work = scratch(docs.sparkSession, "near")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *row_key(), whole("text").cast("binary").alias("text"))
-    marked = stored(mark(texts, shingle_words, ["doc_id", *ROW]), f"{work}/marked")
-    stars = near_components(marked, texts, ROW, shingle_words, similarity, work)
+    marked = stored(mark(texts, shingle_words, ["doc_id", *ROW], _fingerprint(fingerprint_words)), f"{work}/marked")
+    candidates = index_pairs(marked, max_bits, f"{work}/index")
+    stars = near_components(marked, texts, ROW, shingle_words, similarity, work, candidates)
     order = F.struct(F.coalesce("doc_id", F.lit(LAST_ID)), *ROW)
     first = marked.groupBy("vertex").agg(F.min(order).alias("best"))
     rooted = first.join(stars.withColumnRenamed("u", "vertex"), "vertex", "left").groupBy(F.coalesce("v", "vertex").alias("root"))
