@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.dedup import duplicate_counts, first_per_key
 from tidemark.operators.mapping import KEEP, KEY_TEXT, REASON, kept_rows, map_rows, resolve_all
-from tidemark.operators.merge import action_counters, after_merge, classify
+from tidemark.operators.merge import ACTION, DELETE, action_counters, after_merge, classify
 from tidemark.operators.parents import ELIGIBLE, flag_eligible, orphan_values
 from tidemark.operators.prune import not_staged
 from tidemark.options import SyncOptions
@@ -50,17 +50,19 @@ def merge_into(
     result: SyncResult,
     prune: bool = False,
     tags: Mapping[str, object] | None = None,
+    staged: DataFrame | None = None,
 ) -> None:
     """Merge, prune and set the high-water mark of one table.
 
-    ``flagged`` are the staged rows with their eligibility; the counts go to ``result``,
-    which holds how many rows are staged.
+    ``flagged`` are the staged rows with their eligibility, ``staged``, if given, the same rows
+    without it, which are cheaper to count; the counts go to ``result``, which holds how many
+    rows are staged.
     """
     previous = store.current(spec.name)
     expected = result.rows_staged + (previous.rows if previous else 0)
     count = store.slices_for(previous, expected)
     if previous is not None and previous.slice_count == count:
-        seen = _merge_slices(spec, flagged, store, options, previous, expected, prune, tags)
+        seen = _merge_slices(spec, flagged if staged is None else staged, flagged, store, options, previous, expected, prune, tags)
     else:
         seen = _merge_whole(spec, flagged, store, options, previous, expected, count, prune, tags)
     result.rows_inserted = seen["insert"]
@@ -123,6 +125,7 @@ def _merge_whole(
 
 def _merge_slices(
     spec: TableSpec,
+    staged: DataFrame,
     flagged: DataFrame,
     store: TargetStore,
     options: SyncOptions,
@@ -135,70 +138,69 @@ def _merge_slices(
 
     A slice whose staged rows have the digest of its target rows holds the same rows: its
     keys are unique in the target, so no staged key comes twice, and every row is
-    unchanged. The others are joined, first to see what happens in each; then those with
-    an insert or update are written, and of those with deletes only, the deleted keys.
+    unchanged. Slices with another number of rows cannot, and need no digest. The others are
+    joined once, and what happens to each row is written; then slices with an insert or update
+    are made from that, and of those with deletes only, the deleted keys are written.
     """
     count = previous.slice_count
     number = slice_of(spec.key, count)
-    staged = {
-        r[SLICE]: r
-        for r in flagged.groupBy(number.alias(SLICE))
+    held = {r[SLICE]: r["count"] for r in staged.groupBy(number.alias(SLICE)).count().collect()}
+    alike = sorted(k for k, rows in held.items() if k in previous.slices and rows == previous.slices[k].rows)
+
+    def within(df: DataFrame, numbers: Sequence[int]) -> DataFrame:
+        return df if len(numbers) == count else df.where(number.isin(numbers))
+
+    digests = (
+        within(flagged, alike).groupBy(number.alias(SLICE))
         .agg(*digest_columns(spec.column_names), F.count_if(~F.col(ELIGIBLE)).alias("ineligible"))
         .collect()
-    }
+        if alike else []
+    )
     same = {
-        k
-        for k, r in staged.items()
-        if k in previous.slices
-        and not r["ineligible"]
-        and (r["rows"], (r["xor"], r["high"], r["low"])) == (previous.slices[k].rows, previous.slices[k].digest)
+        r[SLICE] for r in digests
+        if not r["ineligible"] and (r["xor"], r["high"], r["low"]) == previous.slices[r[SLICE]].digest
     }
     seen = dict.fromkeys(("insert", "update", "unchanged", "keep", "reject", "delete"), 0)
     seen["unchanged"] = sum(previous.slices[k].rows for k in same)
-    apart = sorted(set(staged) - same | (set(previous.slices) - same if prune else set()))
+    apart = sorted(set(held) - same | (set(previous.slices) - same if prune else set()))
     if not apart:
         _set_mark(spec, store, options, previous)
         return seen
 
-    def within(df: DataFrame, numbers: Sequence[int]) -> DataFrame:
-        return df if len(numbers) == count else df.where(number.isin(numbers))
-
-    def classified(numbers: Sequence[int]) -> DataFrame:
-        target = store.read_by_key(spec) if previous.buckets else store.read_version(spec, previous, numbers)
-        return _classified(spec, within(flagged, numbers), target, prune)
-
-    happened = {
-        r[SLICE]: r
-        for r in classified(apart).groupBy(number.alias(SLICE)).agg(*action_counters()).collect()
-    }
-    for name in seen:
-        seen[name] += sum(r[name] for r in happened.values())
-    touched = sorted(k for k, r in happened.items() if r["insert"] + r["update"])
-    emptied = sorted(k for k, r in happened.items() if r["delete"] and k not in set(touched))
-    if not touched and not emptied:
-        _set_mark(spec, store, options, previous)
-        return seen
+    target = store.read_by_key(spec) if previous.buckets else store.read_version(spec, previous, apart)
+    classified = _classified(spec, within(flagged, apart), target, prune)
+    with work_folder(store.spark, store, f"{spec.name}-merge") as work:
+        decided, _ = materialise(classified, f"{work}/decided")
+        happened = {
+            r[SLICE]: r for r in decided.groupBy(number.alias(SLICE)).agg(*action_counters()).collect()
+        }
+        for name in seen:
+            seen[name] += sum(r[name] for r in happened.values())
+        touched = sorted(k for k, r in happened.items() if r["insert"] + r["update"])
+        emptied = sorted(k for k, r in happened.items() if r["delete"] and k not in set(touched))
+        if not touched and not emptied:
+            _set_mark(spec, store, options, previous)
+            return seen
 
-    with store.transaction():
-        if touched:
-            folder, buckets = store.write(spec, after_merge(classified(touched)), expected, count)
-            slices = {k: s for k, s in previous.slices.items() if k not in set(touched)}
-            slices |= store.digest(spec, folder, count)
-            version = store.commit_slices(
-                spec, previous, slices, count, folder, buckets, previous.high_water, tags
-            )
-        else:
+        with store.transaction():
             version = previous
-        if emptied:
-            gone = store.read_version(spec, previous, emptied)
-            keys = unique_source(within(flagged, emptied), spec).select(spec.key)
-            store.delete(spec, version, gone.join(keys, spec.key, "left_anti"))
-            version = store.current(spec.name)
-        mark = version.high_water
-        if spec.identity and options.reseed_identity_columns:
-            mark = store.highest_key(spec, version)
-        if mark != version.high_water or (tags and not touched):
-            store.commit(spec, version, version.folder, version.rows, version.buckets, mark, tags)
+            if touched:
+                rows = after_merge(decided if len(touched) == len(happened) else within(decided, touched))
+                folder, buckets = store.write(spec, rows, expected, count)
+                slices = {k: s for k, s in previous.slices.items() if k not in set(touched)}
+                slices |= store.digest_rows(spec, rows, count, folder)
+                version = store.commit_slices(
+                    spec, previous, slices, count, folder, buckets, previous.high_water, tags
+                )
+            if emptied:
+                gone = within(decided, emptied).where(F.col(ACTION) == DELETE).drop(ACTION)
+                store.delete(spec, version, gone)
+                version = store.current(spec.name)
+            mark = version.high_water
+            if spec.identity and options.reseed_identity_columns:
+                mark = store.highest_key(spec, version)
+            if mark != version.high_water or (tags and not touched):
+                store.commit(spec, version, version.folder, version.rows, version.buckets, mark, tags)
     return seen
 
 
@@ -337,7 +339,7 @@ def load_scan(
                         doomed[child.name, column] = materialise(missing, f"{work}/doomed-{child.name}-{column}")
                 removed = cascade(spark, store, spec, specs, doomed, work)
                 result.child_rows_deleted += sum(removed.values())
-            merge_into(spec, flag_eligible(staged, orphans), store, options, result, wants_prune, tags)
+            merge_into(spec, flag_eligible(staged, orphans), store, options, result, wants_prune, tags, staged)
         if quarantine is not None:
             write_outcomes(spark, spec, staged, orphans, f"{work}/staged", quarantine)
     if options.keep_versions is not None:
