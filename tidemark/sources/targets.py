@@ -5,7 +5,8 @@ every slice, the folder that holds it, a digest of its rows and the folders of k
 deleted from it since. A change writes new folders for the slices it touches, or only
 the deleted keys, and carries the others over. Digests do not depend on the order of
 rows, so a slice whose staged rows have the digest of its target rows is known to be
-unchanged without reading it.
+unchanged without reading it. Slices of a table that has many lie sorted in the files
+of a few groups, and a reader takes its slices out of them.
 
 Versions of tables become current through one small file per commit at the root,
 which names the version of every table. Tables changed in a ``transaction`` are
@@ -22,9 +23,11 @@ from collections.abc import Iterable, Iterator, Mapping
 from contextlib import contextmanager
 from dataclasses import asdict, dataclass, field, replace
 from datetime import datetime, timezone
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.errors import CommitConflictError
 from tidemark.sources.files import create_text, delete_file, delete_folder, list_names, read_text
@@ -36,6 +39,11 @@ _COMMIT = re.compile(r"\d{20}\.json$")
 SLICE = "slice"
 # Slices of a table at most, so that a version stays a small file.
 MAX_SLICES = 4096
+# Tables of more slices than this keep them in so many groups; so many folders are listed without a job.
+GROUPS = 32
+# The folder of a group and the slice of a row in its files, and the end of the name of a folder of groups.
+_GROUP, _MEMBER = "_group", "_slice"
+_GROUPED = re.compile(r"\.g(\d+)$")
 # A slice is rewritten once more than this share of its rows, or this many times, was deleted by keys.
 FOLD_SHARE, FOLD_LISTS = 0.1, 8
 # Keys are broadcast only if they were counted and are not more.
@@ -97,14 +105,16 @@ def slice_of(key: str, count: int) -> Column:
     return F.pmod(F.xxhash64(F.col(key)), F.lit(count)).cast("int")
 
 
-def digest_columns(names: Iterable[str]) -> list[Column]:
-    """Aggregates that are equal for equal bags of rows: ``rows, xor, high, low``."""
+def digest_columns(names: Iterable[str], where: Column | None = None) -> list[Column]:
+    """Aggregates that are equal for equal bags of rows, or of rows ``where``: ``rows, xor, high, low``."""
     # a hash passes over NULLs, so each value is followed by whether it is one
     values = [c for n in names for c in (F.col(n), F.isnull(n))]
     one, two = F.xxhash64(F.lit(1), *values), F.xxhash64(F.lit(2), *values)
+    if where is not None:
+        one, two = F.when(where, one), F.when(where, two)
     none = F.lit(0).cast("bigint")
     return [
-        F.count(F.lit(1)).alias("rows"),
+        F.count(F.lit(1) if where is None else one).alias("rows"),
         F.coalesce(F.bit_xor(one), none).alias("xor"),
         # halves of the hash, whose sums cannot overflow
         F.coalesce(F.sum(F.shiftright(two, 32)), none).alias("high"),
@@ -112,6 +122,16 @@ def digest_columns(names: Iterable[str]) -> list[Column]:
     ]
 
 
+def slice_columns(spec: TableSpec, where: Column | None = None) -> list[Column]:
+    """Aggregates from which ``slice_from`` makes the slice of all rows, or of rows ``where``."""
+    key = F.col(spec.key) if where is None else F.when(where, F.col(spec.key))
+    return [*digest_columns(spec.column_names, where), F.max(key).cast("bigint").alias("top")]
+
+
+def slice_from(found: Row, folder: str) -> Slice:
+    return Slice(folder, found["rows"], found["rows"], (found["xor"], found["high"], found["low"]), found["top"])
+
+
 class TargetStore:
     """The target tables below one root folder.
 
@@ -261,7 +281,28 @@ class TargetStore:
 
     def _path(self, spec: TableSpec, folder: str, number: int, version: Version) -> str:
         whole = f"{self.root}/{spec.name}/{folder}"
-        return whole if version.slice_count == 1 else f"{whole}/{SLICE}={number}"
+        if version.slice_count == 1:
+            return whole
+        groups = _GROUPED.search(folder)
+        return f"{whole}/{_GROUP}={number * int(groups[1]) // version.slice_count}" if groups else f"{whole}/{SLICE}={number}"
+
+    def _rows_of(self, spec: TableSpec, version: Version, schema: T.StructType, places: Iterable[tuple[str, int]]) -> DataFrame:
+        """The rows of slices, each given with the folder to take it from."""
+        alone, grouped = [], {}
+        for folder, number in places:
+            if _GROUPED.search(folder):
+                grouped.setdefault(folder, set()).add(number)
+            else:
+                alone.append(self._path(spec, folder, number, version))
+        parts = [self.spark.read.schema(schema).parquet(*alone)] if alone else []
+        for folder, numbers in grouped.items():
+            paths = sorted({self._path(spec, folder, k, version) for k in numbers})
+            rows = self.spark.read.schema(T.StructType([*schema, T.StructField(_MEMBER, T.IntegerType())])).parquet(*paths)
+            if len(numbers) < version.slice_count:
+                # the other slices of these groups lie in other folders by now, or are not asked for
+                rows = rows.where(F.expr(f"{_MEMBER} IN ({', '.join(map(str, sorted(numbers)))})"))
+            parts.append(rows.select(*[F.col(f"`{name}`") for name in schema.names]))
+        return reduce(DataFrame.unionByName, parts)
 
     def read(self, spec: TableSpec) -> DataFrame:
         """The current rows; a table that was never loaded is empty."""
@@ -269,21 +310,20 @@ class TargetStore:
         return self.read_version(spec, version)
 
     def read_version(self, spec: TableSpec, version: Version | None, only: Iterable[int] | None = None) -> DataFrame:
-        """The rows of a version, or those of some of its slices; no other file is opened."""
+        """The rows of a version, or those of some of its slices; no file that holds none of them is opened."""
         if version is not None and not version.slice_count:
             return self.spark.read.schema(spec.schema).parquet(f"{self.root}/{spec.name}/{version.folder}")
         wanted = {} if version is None else version.slices if only is None else {k: version.slices[k] for k in only if k in version.slices}
         if not wanted:
             return self.spark.createDataFrame([], spec.schema)
-        rows = self.spark.read.schema(spec.schema).parquet(*[self._path(spec, s.folder, k, version) for k, s in wanted.items()])
+        rows = self._rows_of(spec, version, spec.schema, [(s.folder, k) for k, s in wanted.items()])
         return self._without_deleted(spec, version, wanted, rows)
 
     def _without_deleted(self, spec: TableSpec, version: Version, wanted: Mapping[int, Slice], rows: DataFrame) -> DataFrame:
-        paths = [self._path(spec, f, k, version) for k, s in wanted.items() for f in s.deletes]
-        if not paths:
+        places = [(f, k) for k, s in wanted.items() for f in s.deletes]
+        if not places:
             return rows
-        kind = spec.schema[spec.key].dataType.simpleString()
-        keys = self.spark.read.schema(f"`{spec.key}` {kind}").parquet(*paths)
+        keys = self._rows_of(spec, version, T.StructType([spec.schema[spec.key]]), places)
         if sum(s.stored - s.rows for s in wanted.values()) <= BROADCAST_KEYS:
             keys = F.broadcast(keys)
         return rows.join(keys, spec.key, "left_anti")
@@ -323,17 +363,24 @@ class TargetStore:
     def _bucketed(self, expected_rows: int) -> bool:
         return self.bucket_rows is not None and expected_rows >= self.bucket_rows
 
-    def new_folder(self) -> str:
-        return f"version-{uuid.uuid4().hex}"
+    def new_folder(self, slice_count: int = 1, kind: str = "version") -> str:
+        return f"{kind}-{uuid.uuid4().hex}" + (f".g{GROUPS}" if slice_count > GROUPS else "")
+
+    def _write_slices(self, spec: TableSpec, df: DataFrame, slice_count: int, path: str) -> None:
+        """One more shuffle, of the rows to be written, gives each slice or group a few files of good size."""
+        number = slice_of(spec.key, slice_count)
+        if slice_count <= GROUPS:
+            df.withColumn(SLICE, number).hint("rebalance", SLICE).write.partitionBy(SLICE).parquet(path)
+            return
+        dealt = df.withColumn(_MEMBER, number).withColumn(_GROUP, F.expr(f"int({_MEMBER} * {GROUPS} div {slice_count})"))
+        dealt.hint("rebalance", _GROUP).sortWithinPartitions(_GROUP, _MEMBER).write.partitionBy(_GROUP).parquet(path)
 
     def write(self, spec: TableSpec, df: DataFrame, expected_rows: int, slice_count: int = 1) -> tuple[str, int]:
         """Write a new, uncommitted folder; its name and its number of buckets."""
-        folder = self.new_folder()
+        folder = self.new_folder(slice_count)
         path = f"{self.root}/{spec.name}/{folder}"
         if slice_count > 1:
-            # one more shuffle, of the rows to be written, gives each slice a few files of good size
-            dealt = df.withColumn(SLICE, slice_of(spec.key, slice_count)).hint("rebalance", SLICE)
-            dealt.write.partitionBy(SLICE).parquet(path)
+            self._write_slices(spec, df, slice_count, path)
             return folder, 0
         if not self._bucketed(expected_rows):
             df.write.parquet(path)
@@ -357,12 +404,8 @@ class TargetStore:
 
     def digest_rows(self, spec: TableSpec, rows: DataFrame, slice_count: int, folder: str) -> dict[int, Slice]:
         """The slices that ``rows`` would be; at most ``MAX_SLICES`` rows come to the driver."""
-        top = F.max(F.col(spec.key)).cast("bigint").alias("top")
-        found = rows.groupBy(slice_of(spec.key, slice_count).alias(SLICE)).agg(*digest_columns(spec.column_names), top)
-        return {
-            r[SLICE]: Slice(folder, r["rows"], r["rows"], (r["xor"], r["high"], r["low"]), r["top"])
-            for r in found.collect()
-        }
+        found = rows.groupBy(slice_of(spec.key, slice_count).alias(SLICE)).agg(*slice_columns(spec))
+        return {r[SLICE]: slice_from(r, folder) for r in found.collect()}
 
     def delete(self, spec: TableSpec, previous: Version, hits: DataFrame) -> tuple[int, DataFrame]:
         """Delete rows of a version, given as ``hits``; how many, and their keys.
@@ -372,13 +415,12 @@ class TargetStore:
         """
         kind = spec.schema[spec.key].dataType.simpleString()
         count = previous.slice_count or self.slices_for(None, previous.rows)
-        folder = f"deletes-{uuid.uuid4().hex}"
+        folder = self.new_folder(count, "deletes")
         path = f"{self.root}/{spec.name}/{folder}"
-        listed = hits.withColumn(SLICE, slice_of(spec.key, count))
         if count == 1:
-            listed.drop(SLICE).write.parquet(path)
+            hits.write.parquet(path)
         else:
-            listed.hint("rebalance", SLICE).write.partitionBy(SLICE).parquet(path)
+            self._write_slices(spec, hits, count, path)
         gone = self.digest(spec, folder, count)
         lost = sum(s.rows for s in gone.values())
         keys = self.spark.read.schema(f"`{spec.key}` {kind}").parquet(path)
