@@ -113,9 +113,14 @@ def changes(
     )
 
 
+def stays() -> Column:
+    """Whether a classified row is in the target once the actions are applied."""
+    return ~F.col(ACTION).isin(REJECT, DELETE)
+
+
 def after_merge(classified: DataFrame) -> DataFrame:
     """The rows of the target once the actions are applied."""
-    return classified.where(~F.col(ACTION).isin(REJECT, DELETE)).drop(ACTION)
+    return classified.where(stays()).drop(ACTION)
 
 
 def action_counters() -> list[Column]:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.dedup import duplicate_counts, first_per_key
 from tidemark.operators.mapping import KEEP, KEY_TEXT, REASON, kept_rows, map_rows, resolve_all
-from tidemark.operators.merge import ACTION, DELETE, action_counters, after_merge, classify
+from tidemark.operators.merge import ACTION, DELETE, action_counters, after_merge, classify, stays
 from tidemark.operators.parents import ELIGIBLE, flag_eligible, orphan_values
 from tidemark.operators.prune import not_staged
 from tidemark.options import SyncOptions
@@ -19,7 +19,7 @@ from tidemark.plans.rewrite import cascade, materialise, sized, work_folder
 from tidemark.sources.files import Run, folder_exists
 from tidemark.sources.jdbc import JdbcSource, write_jdbc
 from tidemark.sources.staged import StagedScan, scan_folder
-from tidemark.sources.targets import SLICE, TargetStore, Version, digest_columns, slice_of
+from tidemark.sources.targets import SLICE, TargetStore, Version, digest_columns, slice_columns, slice_from, slice_of
 from tidemark.spec import TableSpec, children_of
 
 log = logging.getLogger(__name__)
@@ -171,9 +171,9 @@ def _merge_slices(
     classified = _classified(spec, within(flagged, apart), target, prune)
     with work_folder(store.spark, store, f"{spec.name}-merge") as work:
         decided, _ = materialise(classified, f"{work}/decided")
-        happened = {
-            r[SLICE]: r for r in decided.groupBy(number.alias(SLICE)).agg(*action_counters()).collect()
-        }
+        # one scan counts what happens in each slice and digests the rows it will hold
+        totals = [*action_counters(), *slice_columns(spec, stays())]
+        happened = {r[SLICE]: r for r in decided.groupBy(number.alias(SLICE)).agg(*totals).collect()}
         for name in seen:
             seen[name] += sum(r[name] for r in happened.values())
         touched = sorted(k for k, r in happened.items() if r["insert"] + r["update"])
@@ -188,7 +188,7 @@ def _merge_slices(
                 rows = after_merge(decided if len(touched) == len(happened) else within(decided, touched))
                 folder, buckets = store.write(spec, rows, expected, count)
                 slices = {k: s for k, s in previous.slices.items() if k not in set(touched)}
-                slices |= store.digest_rows(spec, rows, count, folder)
+                slices |= {k: slice_from(happened[k], folder) for k in touched}
                 version = store.commit_slices(
                     spec, previous, slices, count, folder, buckets, previous.high_water, tags
                 )

@@ -398,12 +398,8 @@ class TargetStore:
         return folder, buckets
 
     def digest(self, spec: TableSpec, folder: str, slice_count: int) -> dict[int, Slice]:
-        """The slices of a written folder, by one scan of it."""
+        """The slices of a written folder, by one scan of it; at most ``MAX_SLICES`` rows come to the driver."""
         rows = self.spark.read.schema(spec.schema).parquet(f"{self.root}/{spec.name}/{folder}")
-        return self.digest_rows(spec, rows, slice_count, folder)
-
-    def digest_rows(self, spec: TableSpec, rows: DataFrame, slice_count: int, folder: str) -> dict[int, Slice]:
-        """The slices that ``rows`` would be; at most ``MAX_SLICES`` rows come to the driver."""
         found = rows.groupBy(slice_of(spec.key, slice_count).alias(SLICE)).agg(*slice_columns(spec))
         return {r[SLICE]: slice_from(r, folder) for r in found.collect()}
 
