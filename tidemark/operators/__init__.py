@@ -1,6 +1,6 @@
 from tidemark.operators.checks import high_water_check, high_water_mark, orphan_report, row_counts
 from tidemark.operators.columns import find_column, flag_warnings, has_column, require_column
-from tidemark.operators.dedup import duplicate_counts, first_per_key, require_unique
+from tidemark.operators.dedup import duplicate_counts, first_and_count, first_per_key, require_unique
 from tidemark.operators.mapping import counters, kept_rows, map_rows, rejected_rows, resolve_rows
 from tidemark.operators.merge import action_counters, after_merge, changes, classify, upsert
 from tidemark.operators.parents import (
@@ -20,6 +20,7 @@ __all__ = [
     "delete_report",
     "duplicate_counts",
     "find_column",
+    "first_and_count",
     "first_per_key",
     "flag_eligible",
     "flag_warnings",

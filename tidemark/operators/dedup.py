@@ -36,6 +36,27 @@ def first_per_key(
     return _ranked(df, key, order_by).where(F.col(_RANK) == 1).drop(_RANK)
 
 
+def first_and_count(
+    df: DataFrame, key: str, values: Sequence[str], extra_rows: str
+) -> DataFrame:
+    """The first row of every key, in order of ``values``, and how many rows the key has beyond it.
+
+    Columns that are not among the values must follow from them. Rows are reduced per task
+    before the shuffle, so a key that fills a third of the table sends one row per input task.
+    """
+    others = [name for name in df.columns if name != key and name not in values]
+    # a struct orders NULL first, so each value comes after whether it is one
+    parts = [c.alias(f"_{i}_{j}") for i, v in enumerate(values) for j, c in enumerate((F.isnull(v), F.col(v)))]
+    parts += [F.col(name).alias(f"_other_{i}") for i, name in enumerate(others)]
+    first = F.min(F.struct(*(parts or [F.lit(True)]))).alias("_first")
+    return df.groupBy(key).agg(first, (F.count(F.lit(1)) - 1).alias(extra_rows)).select(
+        key,
+        *[F.col(f"_first._{i}_1").alias(v) for i, v in enumerate(values)],
+        *[F.col(f"_first._other_{i}").alias(name) for i, name in enumerate(others)],
+        extra_rows,
+    )
+
+
 def duplicate_counts(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Keys held by more than one row, with the number of rows beyond the first."""
     keys = _columns(key)

@@ -45,6 +45,7 @@ def classify(
     *,
     prune: bool = False,
     collations: Mapping[str, str] | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Pair source and target rows and name what happens to each.
 
@@ -57,12 +58,15 @@ def classify(
     REJECT -- a source row that is not eligible and has no target row,
     DELETE -- a target row without a source row, if ``prune``,
     KEEP -- every other target row.
+
+    The columns to ``carry`` are the source's, NULL where it has no row.
     """
     eligible = F.col(ELIGIBLE) if ELIGIBLE in source.columns else F.lit(True)
     left = source.select(
         F.col(key).alias("_s_key"),
         *[F.col(v).alias(f"_s_{v}") for v in values],
         eligible.alias("_s_eligible"),
+        *[F.col(name).alias(f"_c_{name}") for name in carry],
     )
     right = target.select(
         F.col(key).alias("_t_key"), *[F.col(v).alias(f"_t_{v}") for v in values]
@@ -86,6 +90,7 @@ def classify(
             ACTION,
             F.coalesce("_s_key", "_t_key").alias(key),
             *[F.when(taken, F.col(f"_s_{v}")).otherwise(F.col(f"_t_{v}")).alias(v) for v in values],
+            *[F.col(f"_c_{name}").alias(name) for name in carry],
         )
     )
 

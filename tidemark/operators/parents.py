@@ -36,9 +36,14 @@ def orphan_values(df: DataFrame, column: str, parent: DataFrame, parent_key: str
     return orphan_rows(df.select(column).distinct(), column, parent, parent_key)
 
 
-def flag_eligible(df: DataFrame, orphans: Sequence[tuple[str, DataFrame]]) -> DataFrame:
+def flag_eligible(
+    df: DataFrame, orphans: Sequence[tuple[str, DataFrame]], first: str | None = None
+) -> DataFrame:
     """Add ``_eligible``: false where any reference is among the orphan values.
 
+    ``first``, if given, names a column for the place in ``orphans`` of the first such
+    reference, NULL if there is none.
+
     Orphan values are few where data is sound, so Spark broadcasts them if
     their files are small and falls back to a shuffle join if they are not.
     """
@@ -51,4 +56,7 @@ def flag_eligible(df: DataFrame, orphans: Sequence[tuple[str, DataFrame]]) -> Da
         )
         flags.append(name)
     eligible = reduce(lambda a, b: a & b, [F.col(f).isNull() for f in flags], F.lit(True))
+    if first is not None:
+        found = [F.when(F.col(f), F.lit(i)) for i, f in enumerate(flags)]
+        df = df.withColumn(first, F.coalesce(*found, F.lit(None).cast("int")))
     return df.withColumn(ELIGIBLE, eligible).drop(*flags)

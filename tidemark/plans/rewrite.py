@@ -18,6 +18,10 @@ from tidemark.spec import TableSpec, load_order
 # A side of a join is broadcast only if it was counted and is not larger.
 BROADCAST_ROWS = 200_000
 
+# Intermediate copies of whole tables are soon deleted; a denser codec than the tables' saves disk. Not for
+# what may be broadcast, as Spark goes by the size of the files.
+SCRATCH_CODEC = "zstd"
+
 
 @contextmanager
 def work_folder(spark: SparkSession, store: TargetStore, label: str) -> Iterator[str]:
@@ -30,14 +34,15 @@ def work_folder(spark: SparkSession, store: TargetStore, label: str) -> Iterator
         delete_folder(spark, folder)
 
 
-def materialise(df: DataFrame, path: str) -> tuple[DataFrame, int]:
+def materialise(df: DataFrame, path: str, codec: str | None = None) -> tuple[DataFrame, int]:
     """Write a table and read it back, with its exact number of rows.
 
     The count is taken in the tasks that write, so a task that runs twice
     counts once.
     """
     observed = Observation()
-    df.observe(observed, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    counted = df.observe(observed, F.count(F.lit(1)).alias("rows"))
+    (counted.write.option("compression", codec) if codec else counted.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), observed.get["rows"]
 
 

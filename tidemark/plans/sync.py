@@ -8,14 +8,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.dedup import duplicate_counts, first_per_key
+from tidemark.operators.dedup import duplicate_counts, first_and_count, first_per_key
 from tidemark.operators.mapping import KEEP, KEY_TEXT, REASON, kept_rows, map_rows, resolve_all
 from tidemark.operators.merge import ACTION, DELETE, action_counters, after_merge, classify, stays
 from tidemark.operators.parents import ELIGIBLE, flag_eligible, orphan_values
 from tidemark.operators.prune import not_staged
 from tidemark.options import SyncOptions
 from tidemark.plans.ledger import SyncResult
-from tidemark.plans.rewrite import cascade, materialise, sized, work_folder
+from tidemark.plans.rewrite import SCRATCH_CODEC, cascade, materialise, sized, work_folder
 from tidemark.sources.files import Run, folder_exists
 from tidemark.sources.jdbc import JdbcSource, write_jdbc
 from tidemark.sources.staged import StagedScan, scan_folder
@@ -25,6 +25,10 @@ from tidemark.spec import TableSpec, children_of
 log = logging.getLogger(__name__)
 
 
+# Of a row that stands for its key: how many rows the key has beyond it, and its first reference without a parent.
+EXTRA_ROWS, LOST = "_extra_rows", "_lost"
+
+
 def unique_source(flagged: DataFrame, spec: TableSpec) -> DataFrame:
     """The first staged row per key, in order of all its values."""
     order = [F.col(name).asc_nulls_last() for name in spec.value_names]
@@ -51,20 +55,25 @@ def merge_into(
     prune: bool = False,
     tags: Mapping[str, object] | None = None,
     staged: DataFrame | None = None,
+    decided: str | None = None,
 ) -> None:
     """Merge, prune and set the high-water mark of one table.
 
     ``flagged`` are the staged rows with their eligibility, ``staged``, if given, the same rows
     without it, which are cheaper to count; the counts go to ``result``, which holds how many
-    rows are staged.
+    rows are staged. A merge into slices that joins leaves in the folder ``decided``, if given,
+    what happened to each key of the slices it joined, with the columns ``EXTRA_ROWS`` and ``LOST``;
+    ``flagged`` must then hold ``LOST``.
     """
     previous = store.current(spec.name)
     expected = result.rows_staged + (previous.rows if previous else 0)
     count = store.slices_for(previous, expected)
     if previous is not None and previous.slice_count == count:
-        seen = _merge_slices(spec, flagged if staged is None else staged, flagged, store, options, previous, expected, prune, tags)
+        seen = _merge_slices(
+            spec, flagged if staged is None else staged, flagged, store, options, previous, expected, prune, tags, decided
+        )
     else:
-        seen = _merge_whole(spec, flagged, store, options, previous, expected, count, prune, tags)
+        seen = _merge_whole(spec, flagged.drop(LOST), store, options, previous, expected, count, prune, tags)
     result.rows_inserted = seen["insert"]
     result.rows_updated = seen["update"]
     result.rows_unchanged = seen["unchanged"]
@@ -72,9 +81,18 @@ def merge_into(
     result.rows_deleted = seen["delete"]
 
 
-def _classified(spec: TableSpec, flagged: DataFrame, target: DataFrame, prune: bool) -> DataFrame:
-    source = unique_source(flagged, spec)
-    return classify(source, target, spec.key, spec.value_names, prune=prune, collations=spec.collations)
+def _classified(
+    spec: TableSpec, flagged: DataFrame, target: DataFrame, prune: bool, counted: bool = False
+) -> DataFrame:
+    carry = (EXTRA_ROWS, LOST) if counted else ()
+    if counted:
+        source = first_and_count(flagged.drop(ELIGIBLE), spec.key, spec.value_names, EXTRA_ROWS)
+        source = source.withColumn(ELIGIBLE, F.col(LOST).isNull())
+    else:
+        source = unique_source(flagged, spec)
+    return classify(
+        source, target, spec.key, spec.value_names, prune=prune, collations=spec.collations, carry=carry
+    )
 
 
 def _set_mark(
@@ -133,6 +151,7 @@ def _merge_slices(
     expected: int,
     prune: bool,
     tags: Mapping[str, object] | None,
+    kept: str | None = None,
 ) -> Mapping[str, int]:
     """Read and write only slices that change.
 
@@ -168,9 +187,10 @@ def _merge_slices(
         return seen
 
     target = store.read_by_key(spec) if previous.buckets else store.read_version(spec, previous, apart)
-    classified = _classified(spec, within(flagged, apart), target, prune)
+    classified = _classified(spec, within(flagged, apart), target, prune, kept is not None)
     with work_folder(store.spark, store, f"{spec.name}-merge") as work:
-        decided, _ = materialise(classified, f"{work}/decided")
+        decided, _ = materialise(classified, kept or f"{work}/decided", SCRATCH_CODEC)
+        decided = decided.select(ACTION, *spec.column_names)
         # one scan counts what happens in each slice and digests the rows it will hold
         totals = [*action_counters(), *slice_columns(spec, stays())]
         happened = {r[SLICE]: r for r in decided.groupBy(number.alias(SLICE)).agg(*totals).collect()}
@@ -248,19 +268,34 @@ def staged_outcomes(
     return twice.unionByName(lost) if orphans else twice
 
 
-def write_outcomes(
-    spark: SparkSession,
-    spec: TableSpec,
-    staged: DataFrame,
-    orphans: Sequence[tuple[str, DataFrame]],
-    mapped: str,
-    quarantine: str,
-) -> None:
+def merge_outcomes(decided: DataFrame, spec: TableSpec, orphans: Sequence[tuple[str, DataFrame]]) -> DataFrame:
+    """The rows of ``staged_outcomes``, from what a merge into slices left, without ranking again.
+
+    Slices that the merge did not join hold the staged rows, each key once, and lack no parent.
+    """
+    parents = {p.column: p.table for p in spec.parents}
+    key = F.col(spec.key).cast("string").alias("Key")
+    twice = decided.where(F.col(EXTRA_ROWS) > 0).select(
+        key, F.lit("duplicate").alias("Outcome"), F.col(EXTRA_ROWS).alias("Rows")
+    )
+    if not orphans:
+        return twice
+    outcome = F.lit(None).cast("string")
+    for position, (column, _) in enumerate(orphans):
+        named = F.lit(f"no {parents[column]} for {column}")
+        outcome = F.when(F.col(LOST) == position, named).otherwise(outcome)
+    lost = decided.where(F.col(LOST).isNotNull()).select(
+        key, outcome.alias("Outcome"), F.lit(1).cast("bigint").alias("Rows")
+    )
+    return twice.unionByName(lost)
+
+
+def write_outcomes(spark: SparkSession, left_out: DataFrame, mapped: str, quarantine: str) -> None:
     """What became of every staged row that is not in the target, in one folder per outcome."""
     filtered = read_part(spark, f"{mapped}/{KEEP}=false", f"{REASON} string, {KEY_TEXT} string").select(
         F.col(KEY_TEXT).alias("Key"), F.col(REASON).alias("Outcome"), F.lit(1).cast("bigint").alias("Rows")
     )
-    rows = filtered.unionByName(staged_outcomes(staged, spec, orphans))
+    rows = filtered.unionByName(left_out)
     rows.write.mode("overwrite").partitionBy("Outcome").parquet(quarantine)
 
 
@@ -295,19 +330,19 @@ def load_scan(
         observed = Observation()
         resolved = resolve_all(scan.frames, spec, options, observed)
         if quarantine is None:
-            kept_rows(resolved, spec).write.parquet(f"{work}/staged")
+            kept_rows(resolved, spec).write.option("compression", SCRATCH_CODEC).parquet(f"{work}/staged")
             staged = spark.read.schema(spec.schema).parquet(f"{work}/staged")
         else:
             # rows that are left out are a second output of the same scan
             dealt = resolved.select(*spec.column_names, KEEP, REASON, KEY_TEXT)
-            dealt.write.partitionBy(KEEP).parquet(f"{work}/staged")
+            dealt.write.option("compression", SCRATCH_CODEC).partitionBy(KEEP).parquet(f"{work}/staged")
             staged = read_part(spark, f"{work}/staged/{KEEP}=true", spec.schema)
         _take_counters(result, observed.get)
 
         wants_prune = options.prune_missing_rows and spec.prunable
         if result.rows_staged == 0:
             if quarantine is not None:
-                write_outcomes(spark, spec, staged, [], f"{work}/staged", quarantine)
+                write_outcomes(spark, staged_outcomes(staged, spec, []), f"{work}/staged", quarantine)
             if wants_prune:
                 result.warnings.append(
                     f"{spec.name} was not pruned. Nothing was staged for it, so each of its target rows "
@@ -339,9 +374,17 @@ def load_scan(
                         doomed[child.name, column] = materialise(missing, f"{work}/doomed-{child.name}-{column}")
                 removed = cascade(spark, store, spec, specs, doomed, work)
                 result.child_rows_deleted += sum(removed.values())
-            merge_into(spec, flag_eligible(staged, orphans), store, options, result, wants_prune, tags, staged)
+            flagged = flag_eligible(staged, orphans, LOST if quarantine is not None else None)
+            decided = f"{work}/decided" if quarantine is not None else None
+            merge_into(spec, flagged, store, options, result, wants_prune, tags, staged, decided)
         if quarantine is not None:
-            write_outcomes(spark, spec, staged, orphans, f"{work}/staged", quarantine)
+            if folder_exists(spark, decided):
+                kind = spec.schema[spec.key].dataType.simpleString()
+                schema = f"`{spec.key}` {kind}, {EXTRA_ROWS} bigint, {LOST} int"
+                left_out = merge_outcomes(spark.read.schema(schema).parquet(decided), spec, orphans)
+            else:
+                left_out = staged_outcomes(staged, spec, orphans)
+            write_outcomes(spark, left_out, f"{work}/staged", quarantine)
     if options.keep_versions is not None:
         store.drop_old_versions(spec, options.keep_versions)
     if result.rows_deleted:
