@@ -5,7 +5,9 @@ block, and the hash of each word. What a block needs from the corpus (counts, su
 over contexts) it asks for by key. Keys are 64-bit hashes; each *bucket* is a range
 of them and one reducer's work. A block sends each bucket its sorted distinct keys,
 the bucket adds up over blocks and answers in the same order. A key occurs once
-per block at most, so no word, however frequent, weighs on a bucket.
+per block at most, so no word, however frequent, weighs on a bucket. Sums over
+contexts travel as whole numbers by class of count, which deflate far better than
+masses do, and a backoff weight goes only to blocks that back off from its context.
 
 Level 1 is a Good-Turing unigram model whose left-over mass is the one unknown
 word's. At level 2, P(w|h) = d(c) c(h,w) / c(h) for pairs kept in the model and
@@ -141,12 +143,12 @@ class _Block:
 
 
 def _asks(level: int, number: int, keys: np.ndarray, columns: list[np.ndarray], buckets: int) -> Iterator[tuple]:
-    """Sorted keys and their values cut into bucket ranges."""
+    """Sorted keys and their values, or rows of values, cut into bucket ranges."""
     step = (1 << 64) // buckets + 1
     edges = np.searchsorted(keys, np.array([min(step * i, (1 << 64) - 1) for i in range(1, buckets)], np.uint64))
     for bucket, (a, b) in enumerate(zip(np.r_[0, edges], np.r_[edges, len(keys)])):
         if a < b:
-            yield level, bucket, number, _packed_keys(keys[a:b]), [packed(c[a:b]) for c in columns]
+            yield level, bucket, number, _packed_keys(keys[a:b]), [packed(c[..., a:b].ravel()) for c in columns]
 
 
 def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
@@ -231,6 +233,10 @@ class _Model:
         """Discounted counts of pairs; 0 for those left to backoff."""
         return np.where(counts >= self.min_count, self._discounted(counts, self.d2), 0.0)
 
+    def backs_off(self, block: _Block, pairs: np.ndarray) -> np.ndarray:
+        """Whether a block has a pair that is left to backoff, by context."""
+        return np.bincount(block.left[self.pair_mass(pairs) <= 0], minlength=len(block.contexts)) > 0
+
     def base(self, counts: np.ndarray) -> np.ndarray:
         return (counts + 0.5) / (self.tokens + 0.5 * (self.types + 1))
 
@@ -250,6 +256,13 @@ def _counted(row: dict) -> tuple[_Block, np.ndarray, np.ndarray, np.ndarray]:
     return block, words, pairs, owned
 
 
+def _by_class(context: np.ndarray, counts: np.ndarray, n: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Per context, how many of its counts are 1 to GT_MAX each, and the sum of the higher ones."""
+    few = [np.bincount(context[counts == r], minlength=n) for r in range(1, GT_MAX + 1)]
+    many = counts > GT_MAX
+    return few, np.bincount(context[many], weights=counts[many], minlength=n)
+
+
 def _ask_contexts(model: _Model, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -257,33 +270,49 @@ def _ask_contexts(model: _Model, buckets: int):
                 block, words, pairs, owned = _counted(batch.slice(i, 1).to_pylist()[0])
                 n = len(block.contexts)
                 total = np.bincount(block.left, weights=block.pair_counts, minlength=n)
-                kept = np.where(owned, model.pair_mass(pairs), 0.0)
-                lower = np.where(kept > 0, model.unigram(words)[block.right], 0.0)
-                values = [total, np.bincount(block.left, weights=kept, minlength=n), np.bincount(block.left, weights=lower, minlength=n)]
+                kept = owned & (model.pair_mass(pairs) > 0)
+                few_pairs, many_pairs = _by_class(block.left[kept], pairs[kept], n)
+                few_words, many_words = _by_class(block.left[kept], words[block.right[kept]], n)
                 order = np.argsort(block.contexts)
-                yield _batch(list(_asks(3, block.number, block.contexts[order], [v[order] for v in values], buckets)), ASK)
+                values = [
+                    np.stack([total, *few_pairs, *few_words]).astype(np.uint32)[:, order],
+                    np.stack([many_pairs, many_words]).astype(np.uint64)[:, order],
+                    model.backs_off(block, pairs).astype(np.uint8)[order],
+                ]
+                yield _batch(list(_asks(3, block.number, block.contexts[order], values, buckets)), ASK)
 
     return run
 
 
-def _add_contexts(table: pa.Table) -> pa.Table:
-    parts = _parts(table)
-    keys = [_unpacked_keys(p["keys"]) for p in parts]
-    distinct, where = np.unique(np.concatenate(keys), return_inverse=True)
-    sent = [np.concatenate([unpacked(p["counts"][i], np.float64) for p in parts]) for i in range(3)]
-    total, kept, lower = (np.bincount(where, weights=v) for v in sent)
-    # a context whose kept pairs leave nothing gives up one count
-    whole_ = np.where(kept >= total, total + 1, total)
-    whole_ = np.where(total == 0, 1.0, whole_)
-    backoff = np.where(total == 0, 1.0, (1 - kept / whole_) / (1 - lower))
-    rows, at = [], 0
-    for p, k in zip(parts, keys):
-        here = where[at : at + len(k)]
-        rows.append(("answer", 3, p["bucket"], p["blk"], packed(whole_[here]), packed(backoff[here]), None))
-        at += len(k)
-    chosen = kept > 0
-    rows.append(("model", 3, parts[0]["bucket"], None, _packed_keys(distinct[chosen]), packed(backoff[chosen]), None))
-    return pa.Table.from_batches([_batch(rows, ANSWER)])
+def _add_contexts(model: _Model):
+    def run(table: pa.Table) -> pa.Table:
+        parts = _parts(table)
+        keys = [_unpacked_keys(p["keys"]) for p in parts]
+        distinct, where = np.unique(np.concatenate(keys), return_inverse=True)
+
+        def sums(place: int, dtype: type) -> list[np.ndarray]:
+            sent = [unpacked(p["counts"][place], dtype).reshape(-1, len(k)) for p, k in zip(parts, keys)]
+            return [np.bincount(where, weights=np.concatenate(v)) for v in zip(*sent)]
+
+        total, *few = sums(0, np.uint32)
+        many_pairs, many_words = sums(1, np.uint64)
+        kept = many_pairs + sum(model.d2[r] * r * few[r - 1] for r in range(1, GT_MAX + 1))
+        lower = (many_words + sum(model.d1[r] * r * few[GT_MAX + r - 1] for r in range(1, GT_MAX + 1))) / model.all
+        # a context whose kept pairs leave nothing gives up one count
+        whole_ = np.where(kept >= total, total + 1, total)
+        whole_ = np.where(total == 0, 1.0, whole_)
+        backoff = np.where(total == 0, 1.0, (1 - kept / whole_) / (1 - lower))
+        rows, at = [], 0
+        for p, k in zip(parts, keys):
+            here = where[at : at + len(k)]
+            asked = unpacked(p["counts"][2], np.uint8).astype(bool)
+            rows.append(("answer", 3, p["bucket"], p["blk"], packed(whole_[here].astype(np.uint64)), packed(backoff[here[asked]]), None))
+            at += len(k)
+        chosen = kept > 0
+        rows.append(("model", 3, parts[0]["bucket"], None, _packed_keys(distinct[chosen]), packed(backoff[chosen]), None))
+        return pa.Table.from_batches([_batch(rows, ANSWER)])
+
+    return run
 
 
 def _score(model: _Model):
@@ -294,9 +323,10 @@ def _score(model: _Model):
                 block, words, pairs, _ = _counted(row)
                 rows = sorted(row["contexts"], key=lambda r: r["bucket"])
                 order = np.argsort(block.contexts)
-                whole_, backoff = np.empty(len(order)), np.empty(len(order))
-                whole_[order] = np.concatenate([unpacked(r["a"], np.float64) for r in rows])
-                backoff[order] = np.concatenate([unpacked(r["b"], np.float64) for r in rows])
+                whole_, backoff = np.empty(len(order)), np.ones(len(order))
+                whole_[order] = np.concatenate([unpacked(r["a"], np.uint64) for r in rows])
+                asked = order[model.backs_off(block, pairs)[order]]
+                backoff[asked] = np.concatenate([unpacked(r["b"], np.float64) for r in rows])
                 mass = model.pair_mass(pairs)
                 p = np.where(mass > 0, mass / whole_[block.left], backoff[block.left] * model.unigram(words)[block.right])
                 starts = np.r_[0, np.cumsum(block.lengths)[:-1]]
@@ -362,7 +392,7 @@ def katz_scores(
         return replies.agg(F.collect_list(F.struct("level", "bucket", "a", "b")).alias(name))
 
     counted = blocks.join(per_block(answers, "answers").hint("shuffle_merge"), "blk")
-    contexts = counted.mapInArrow(_ask_contexts(model, buckets[0]), ASK).groupBy("level", "bucket").applyInArrow(_add_contexts, ANSWER)
+    contexts = counted.mapInArrow(_ask_contexts(model, buckets[0]), ASK).groupBy("level", "bucket").applyInArrow(_add_contexts(model), ANSWER)
     contexts = stored(contexts, f"{work}/contexts", "kind")
     known = counted.join(per_block(contexts, "contexts").hint("shuffle_merge"), "blk")
     return known.mapInArrow(_score(model), SCORES)
