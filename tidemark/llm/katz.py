@@ -290,14 +290,16 @@ def _add_contexts(model: _Model):
         keys = [_unpacked_keys(p["keys"]) for p in parts]
         distinct, where = np.unique(np.concatenate(keys), return_inverse=True)
 
-        def sums(place: int, dtype: type) -> list[np.ndarray]:
-            sent = [unpacked(p["counts"][place], dtype).reshape(-1, len(k)) for p, k in zip(parts, keys)]
-            return [np.bincount(where, weights=np.concatenate(v)) for v in zip(*sent)]
-
-        total, *few = sums(0, np.uint32)
-        many_pairs, many_words = sums(1, np.uint64)
-        kept = many_pairs + sum(model.d2[r] * r * few[r - 1] for r in range(1, GT_MAX + 1))
-        lower = (many_words + sum(model.d1[r] * r * few[GT_MAX + r - 1] for r in range(1, GT_MAX + 1))) / model.all
+        total, kept, lower = np.zeros((3, len(distinct)))
+        classes, at = np.arange(1, GT_MAX + 1), 0
+        for p, k in zip(parts, keys):
+            here = where[at : at + len(k)]  # a block names a key once
+            few, many = (unpacked(c, t).reshape(-1, len(k)) for c, t in zip(p["counts"], (np.uint32, np.uint64)))
+            total[here] += few[0]
+            kept[here] += (model.d2[1:] * classes) @ few[1 : GT_MAX + 1] + many[0]
+            lower[here] += (model.d1[1:] * classes) @ few[GT_MAX + 1 :] + many[1]
+            at += len(k)
+        lower /= model.all
         # a context whose kept pairs leave nothing gives up one count
         whole_ = np.where(kept >= total, total + 1, total)
         whole_ = np.where(total == 0, 1.0, whole_)
